@@ -9,7 +9,7 @@ from lotscout.queries.roles import ROLES
 
 def rounded(sql: str, places: int) -> str:
     """Half-up rounding of the decimal digits a double prints, as Spark rounds doubles."""
-    return f"CAST(round(CAST(CAST({sql} AS VARCHAR) AS DECIMAL(38, 15)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({sql} AS VARCHAR) AS DECIMAL(38, 20)), {places}) AS DOUBLE)"
 
 
 def address_clean(sql: str) -> str:

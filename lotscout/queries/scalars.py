@@ -10,7 +10,7 @@ from lotscout.operators.aggregates import heat_intensity as with_intensity
 from lotscout.plans.ownership import pick_owner
 from lotscout.queries import oracle
 from lotscout.queries.registry import Tables, query
-from lotscout.queries.roles import SITE, Role, hangul, person, pick
+from lotscout.queries.roles import ROAD, SIDO, Role, hangul, person, pick
 from lotscout.queries.roles import text as as_text
 from lotscout.sources import regions, schemas
 
@@ -325,15 +325,22 @@ def region_from_filename(t: Tables) -> DataFrame:
     )
 
 
-_ADDRESS = f"CASE WHEN c_custkey % 13 = 0 THEN '평양 ' ELSE '  ' END || {SITE.sido} || ' ' || {SITE.road}"
+_ADDRESSES = Role(
+    "customer",
+    {
+        "c_custkey": "c_custkey",
+        "address": f"CASE WHEN c_custkey % 13 = 0 THEN '평양 ' ELSE '  ' END || {SIDO} || ' ' || {ROAD}",
+    },
+    parcel="c_custkey",
+)
 
 
 @query(
     f"""SELECT * FROM (SELECT c_custkey, {_case("regexp_extract(trim(address), '^(\\S+)', 1)", regions.REGION_ALIASES)} AS region
-  FROM (SELECT c_custkey, {_ADDRESS} AS address FROM customer)) WHERE region IS NOT NULL"""
+  FROM ({_ADDRESSES.sql()})) WHERE region IS NOT NULL"""
 )
 def region_from_token(t: Tables) -> DataFrame:
-    rows = t.customer.select("c_custkey", F.expr(_ADDRESS).alias("address"))
+    rows = _ADDRESSES.frame(t.spark, t.sf_dir)
     return regions.with_region_of_address(rows, "address").select("c_custkey", "region")
 
 
