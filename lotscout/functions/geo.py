@@ -1,10 +1,10 @@
-"""Korean unified grid (EPSG:5179) to WGS84, as plain Column arithmetic."""
+"""Korean unified grid (EPSG:5179) to WGS84, as plain column arithmetic."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Published EPSG:5179 parameters on the GRS80 ellipsoid.
@@ -53,18 +53,35 @@ def _origin_northing() -> float:
 ORIGIN_NORTHING = _origin_northing()
 
 
-def grid_to_wgs84(x: Column, y: Column) -> tuple[Column, Column]:
-    """(longitude, latitude) in degrees; NULL when either coordinate is NULL."""
-    xi = (y - FALSE_NORTHING + ORIGIN_NORTHING) / (SCALE * RECTIFYING_RADIUS)
-    eta = (x - FALSE_EASTING) / (SCALE * RECTIFYING_RADIUS)
-    xi_c, eta_c = xi, eta
-    for j, b in enumerate(BETA, 1):
-        xi_c = xi_c - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        eta_c = eta_c - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(xi_c) / F.cosh(eta_c))
-    latitude = chi
-    for j, d in enumerate(DELTA, 1):
-        latitude = latitude + d * F.sin(2 * j * chi)
-    longitude = F.degrees(F.atan2(F.sinh(eta_c), F.cos(xi_c))) + ORIGIN_LONGITUDE
-    both = x.isNotNull() & y.isNotNull()
-    return F.when(both, longitude), F.when(both, F.degrees(latitude))
+def _series(coefficients: tuple[float, ...], term) -> Column:
+    first, *rest = (c * term(2 * j) for j, c in enumerate(coefficients, 1))
+    return sum(rest, first)
+
+
+def with_wgs84(
+    df: DataFrame, x: str = "x", y: str = "y", longitude: str = "longitude", latitude: str = "latitude"
+) -> DataFrame:
+    """Replace grid coordinates by degrees; NULL when either coordinate is NULL.
+
+    Each step is a projection of its own, so every angle is computed once per row, inside the
+    generated code of the stage and without a Python worker.
+    """
+    xi, eta, xi_c, eta_c, chi = (F.col(f"_{n}") for n in ("xi", "eta", "xi_c", "eta_c", "chi"))
+    steps = [
+        {
+            "_xi": (F.col(y) - FALSE_NORTHING + ORIGIN_NORTHING) / (SCALE * RECTIFYING_RADIUS),
+            "_eta": (F.col(x) - FALSE_EASTING) / (SCALE * RECTIFYING_RADIUS),
+        },
+        {
+            "_xi_c": xi - _series(BETA, lambda m: F.sin(m * xi) * F.cosh(m * eta)),
+            "_eta_c": eta - _series(BETA, lambda m: F.cos(m * xi) * F.sinh(m * eta)),
+        },
+        {"_chi": F.asin(F.sin(xi_c) / F.cosh(eta_c))},
+        {
+            longitude: F.degrees(F.atan2(F.sinh(eta_c), F.cos(xi_c))) + ORIGIN_LONGITUDE,
+            latitude: F.degrees(chi + _series(DELTA, lambda m: F.sin(m * chi))),
+        },
+    ]
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop("_xi", "_eta", "_xi_c", "_eta_c", "_chi", x, y)

@@ -47,11 +47,13 @@ def two_level_zscore(
         F.sum(value).alias("outer_total"),
     )
     national = groups.agg(
-        F.avg("outer_total").alias("mean"), F.stddev_samp("outer_total").alias("std")
-    )
-    mean, std = (national.select(c).scalar() for c in ("mean", "std"))
+        F.struct(
+            F.avg("outer_total").alias("mean"), F.stddev_samp("outer_total").alias("std")
+        ).alias("national")
+    ).scalar()
     no_score = F.lit(None).cast("double")
-    scored = groups.withColumn("outer_zscore", _z(F.col("outer_total"), mean, std, no_score))
+    outer_z = _z(F.col("outer_total"), national["mean"], national["std"], no_score)
+    scored = groups.withColumn("outer_zscore", outer_z)
     inner = _z(F.col(value), F.col("_mean"), F.col("_std"), F.lit(0.0))
     importance = outer_weight * F.col("outer_zscore") + inner_weight * F.col("inner_zscore")
     return (

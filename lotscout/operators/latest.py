@@ -1,37 +1,37 @@
 """One row per key, chosen the same way on every run.
 
-All of these are a minimum or maximum of a struct, so each task sends at most one row per key and
-a key holding a third of the table costs no more than any other.
+Written as row_number() = 1, for which Spark plans a group limit on both sides of the shuffle: every
+task sends at most one row per key, so a key holding a third of the table costs no more than any
+other. Ties are settled by all remaining columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _rest(df: DataFrame, used: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in used]
+def _ranked_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    return [*order, *(c for c in df.columns if c not in keys and c not in order)]
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the largest order values per key, NULL order last.
+def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
+
 
-    Ties go to the largest remaining columns, so that the choice does not depend on row order.
-    """
-    ranked = [*order, *_rest(df, [*keys, *order])]
-    newest = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("row"))
-    return newest.select(*keys, "row.*").select(*df.columns)
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row with the largest order values per key, NULL last."""
+    return _keep_first(df, keys, [F.desc_nulls_last(c) for c in _ranked_columns(df, keys, order)])
 
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Duplicates on a subset of columns: keep the smallest remaining columns, NULL first."""
-    ranked = [*order, *_rest(df, [*keys, *order])]
+    ranked = _ranked_columns(df, keys, order)
     if not ranked:
         return df.dropDuplicates()
-    first = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("row"))
-    return first.select(*keys, "row.*").select(*df.columns)
+    return _keep_first(df, keys, [F.asc_nulls_first(c) for c in ranked])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotscout.functions.score import total_score
+from lotscout.functions.score import grade, parking_grade, total_score
 from lotscout.operators.latest import latest_per_key
 from lotscout.sources.schemas import DEFAULT_STATUS, SITE_KEY
 from lotscout.sources.snapshot import LEVELS, latest_snapshot
@@ -43,6 +43,20 @@ def active_contracts(sites: DataFrame, target: str) -> DataFrame:
     return sites_of_district(sites, target).filter(F.col("contract_status") != DEFAULT_STATUS)
 
 
+def site_grid(top: DataFrame) -> DataFrame:
+    """Ranked sites as shown: whole totals (half to even) and letters for the scores."""
+    return top.select(
+        "rank",
+        "name",
+        F.bround("total", 0).cast("bigint").alias("total"),
+        grade(F.col("profitability")).alias("profitability"),
+        grade(F.col("suitability")).alias("suitability"),
+        parking_grade(F.col("parking")).alias("parking"),
+        "contract_status",
+        "remarks",
+    )
+
+
 def top_districts(districts: DataFrame, n: int = 10) -> DataFrame:
     """Districts by importance."""
     order = [F.desc_nulls_last("importance"), F.asc("sido"), F.asc("sigungu")]

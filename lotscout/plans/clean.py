@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotscout.functions import dates, keys, text
+from lotscout.operators.filters import present
 from lotscout.operators.latest import first_per_key, latest_per_key
 
 
@@ -17,7 +18,7 @@ def _road_address():
 def clean_restaurant(raw: DataFrame, region: str | None = None) -> DataFrame:
     """Restaurants with a clean address, first representative and number of representatives."""
     rows = raw if region is None else raw.filter(F.col("region") == region)
-    complete = rows.dropna(subset=["name", "rep", "address"])
+    complete = present(rows, "name", "rep", "address")
     clean = complete.select(
         "name",
         text.clean_representative(F.col("rep")).alias("rep"),

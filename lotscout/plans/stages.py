@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotscout.functions import geo, score, text
 from lotscout.operators.aggregates import max_then_sum, smallest_per_group
+from lotscout.operators.filters import changed_since, present
 from lotscout.operators.joins import (
     in_groups_with,
     left_join_detail,
@@ -26,13 +27,8 @@ PARKABLE = ("대", "잡종지", "주차장")
 def s0_address(address: DataFrame, coord: DataFrame) -> DataFrame:
     """Road addresses with parcel id and WGS84 position."""
     joined = left_join_detail(address, coord, ["road_address"])
-    longitude, latitude = geo.grid_to_wgs84(F.col("x"), F.col("y"))
-    return joined.select(
-        "region",
-        "parcel_id",
-        "road_address",
-        longitude.alias("longitude"),
-        latitude.alias("latitude"),
+    return geo.with_wgs84(joined).select(
+        "region", "parcel_id", "road_address", "longitude", "latitude"
     )
 
 
@@ -60,7 +56,7 @@ def s0_parcel(
 
 def s1_located(restaurant: DataFrame, address: DataFrame) -> DataFrame:
     """Restaurants whose clean address is a known road address with a parcel."""
-    place = address.filter(F.col("parcel_id").isNotNull()).select(
+    place = present(address, "parcel_id").select(
         "road_address", "parcel_id", "longitude", "latitude"
     )
     return restaurant.withColumnRenamed("address", "road_address").join(place, "road_address")
@@ -74,7 +70,7 @@ def s1_candidates(parcels: DataFrame, restaurants: DataFrame) -> DataFrame:
     built_up = parcels.filter(F.col("building_pk").isNotNull())
     empty = parcels.filter(F.col("building_pk").isNull())
     with_restaurant = built_up.join(
-        restaurants.drop("region").filter(F.col("name").isNotNull()), "parcel_id"
+        present(restaurants.drop("region"), "name"), "parcel_id"
     )
     return in_groups_with(union_padded(with_restaurant, empty), ["dong", "lot_main"], "name")
 
@@ -87,7 +83,7 @@ def s1_fetch_list(
     groups = smallest_per_group(candidates, group, "lot_sub")
     if changed_days is None:
         return groups
-    return groups.filter(F.col("change_date") >= F.date_sub(F.lit(as_of), changed_days))
+    return changed_since(groups, "change_date", as_of, changed_days)
 
 
 def s2_owner(candidates: DataFrame, ownership: DataFrame) -> DataFrame:
@@ -108,7 +104,7 @@ def gold_sites(
     lot = ["dong", "lot_main", "owner", "region"]
     area = max_then_sum(owned, lot, "lot_sub", "idle_area")
     detail = (
-        owned.filter(F.col("name").isNotNull())
+        present(owned, "name")
         .drop("lot_sub", "parcel_id", "idle_area")
         .dropDuplicates()
     )

@@ -5,16 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lotscout.queries.oracle import query as with_chain
 from lotscout.queries.roles import ROLES
 from lotscout.session import tuned
+from lotscout.sources.snapshot import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 RUNS: dict[str, Run] = {}
 SQL: dict[str, str] = {}
 
 
+_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
+    """The raw table of a role, written by region to the shared folder on first use.
+
+    Raw tables are Parquet directories partitioned by region in production too, so the queries see
+    the scans, pushed filters and pruned columns they would see there.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, role)
+    if key not in _LANDED:
+        rows = ROLES[role].frame(spark, sf_dir)
+        path = new_path(spark, f"raw-{role}")
+        by = [c for c in ("region",) if c in rows.columns]
+        rows.write.partitionBy(*by).parquet(path)
+        _LANDED[key] = path, rows.schema
+    path, schema = _LANDED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 class Tables:
     """Driver tables and the domain roles made from them."""
 
@@ -23,7 +45,7 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in ROLES:
-            return ROLES[name].frame(self.spark, self.sf_dir)
+            return landed(self.spark, self.sf_dir, name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 

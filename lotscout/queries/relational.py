@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotscout.operators import aggregates, joins, latest
+from lotscout.operators import aggregates, filters, joins, latest
 from lotscout.plans import clean, regional
 from lotscout.plans.stages import PARKABLE
 from lotscout.queries import oracle
@@ -21,7 +21,7 @@ from lotscout.queries.registry import Tables, query
 def filter_land(t: Tables) -> DataFrame:
     private = F.col("owner_code").try_cast("int") == 1
     kept = t.bronze_parcel.filter(private & F.col("category").isin(*PARKABLE))
-    return kept.dropna(subset=["change_date"]).select("parcel_id", "dong", "category", "land_area")
+    return filters.present(kept, "change_date").select("parcel_id", "dong", "category", "land_area")
 
 
 @query(
@@ -29,9 +29,8 @@ def filter_land(t: Tables) -> DataFrame:
     "WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-01' - INTERVAL 30 DAY"
 )
 def changed_recently(t: Tables) -> DataFrame:
-    as_of = F.lit(dt.date(2001, 8, 1))
     days = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    return days.filter(F.col("day") >= F.date_sub(as_of, 30))
+    return filters.changed_since(days, "day", dt.date(2001, 8, 1), 30)
 
 
 @query(

@@ -139,11 +139,9 @@ def project_wgs84(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     x = F.when(key % 97 != 0, (900000 + key * 37 % 200000).cast("double"))
     y = (1900000 + key * 53 % 300000).cast("double")
-    longitude, latitude = geo.grid_to_wgs84(x, y)
-    return t.customer.select(
-        "c_custkey",
-        F.round(longitude, 9).alias("longitude"),
-        F.round(latitude, 9).alias("latitude"),
+    grid = t.customer.select("c_custkey", x.alias("x"), y.alias("y"))
+    return geo.with_wgs84(grid).select(
+        "c_custkey", *[F.round(c, 9).alias(c) for c in ("longitude", "latitude")]
     )
 
 

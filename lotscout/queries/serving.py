@@ -39,6 +39,20 @@ def top_sites(t: Tables) -> DataFrame:
     return serve.top_sites(t.served, "경기 시").select(*_TOP_COLUMNS, "rank")
 
 
+def _letter(score: str) -> str:
+    return f"CASE WHEN {score} >= 0.8e0 THEN 'A' WHEN {score} >= 0.6e0 THEN 'B' WHEN {score} >= 0.4e0 THEN 'C' WHEN {score} >= 0.2e0 THEN 'D' ELSE 'E' END"
+
+
+@query(
+    f"""SELECT CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, remarks NULLS FIRST) AS INTEGER) AS rank,
+  name, CAST(round_even(total, 0) AS BIGINT) AS total, {_letter("profitability")} AS profitability, {_letter("suitability")} AS suitability,
+  CASE parking WHEN 5 THEN 'A' WHEN 4 THEN 'B' WHEN 3 THEN 'C' WHEN 2 THEN 'D' WHEN 1 THEN 'E' END AS parking, contract_status, remarks
+FROM served WHERE region = '경기' AND {_NEWEST} AND sigungu LIKE '%시%' ORDER BY rank LIMIT 15"""
+)
+def site_grid(t: Tables) -> DataFrame:
+    return serve.site_grid(serve.top_sites(t.served, "경기 시"))
+
+
 @query(
     f"""SELECT {", ".join(_TOP_COLUMNS)} FROM served WHERE region = '경기' AND {_NEWEST} AND sigungu LIKE '%시%'
   AND contract_status <> '후보'"""

@@ -18,13 +18,13 @@ def latest_snapshot(
 ) -> DataFrame:
     """Rows of the newest snapshot: the largest year, its largest month, its largest week.
 
-    The maximum is a one-row scalar subquery per level, so on partition columns Spark prunes the
-    directories before the scan. `where` restricts both the rows and what counts as newest.
+    The maximum is a one-row scalar subquery, so on partition columns Spark prunes the directories
+    before the scan. `where` restricts both the rows and what counts as newest.
     """
     if where is not None:
         df = df.filter(where)
-    newest = df.agg(F.max(F.struct(*levels)).alias("newest"))
-    at_newest = [F.col(c) == newest.select(f"newest.{c}").scalar() for c in levels]
+    newest = df.agg(F.max(F.struct(*levels))).scalar()
+    at_newest = [F.col(c) == newest[c] for c in levels]
     return df.filter(reduce(Column.__and__, at_newest))
 
 
@@ -97,7 +97,9 @@ _OWN_FOLDER = "lotscout.local.folder"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/lotscout/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, below a folder of this application."""
+    app = spark.conf.get("spark.app.id")
+    return f"{shared_folder(spark)}/lotscout/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
