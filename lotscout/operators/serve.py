@@ -34,7 +34,13 @@ def sites_of_district(sites: DataFrame, target: str) -> DataFrame:
 
 def top_sites(sites: DataFrame, target: str, n: int = 15) -> DataFrame:
     """Best sites of a district. Sites without a total come last, ties go by name and address."""
-    order = [F.desc_nulls_last("total"), F.asc("name"), F.asc("road_address")]
+    order = [
+        F.desc_nulls_last("total"),
+        F.asc("name"),
+        F.asc("road_address"),
+        F.desc_nulls_last("idle_area"),
+        F.asc_nulls_first("remarks"),
+    ]
     return ranked_top(sites_of_district(sites, target), n, order)
 
 

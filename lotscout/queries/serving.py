@@ -32,7 +32,7 @@ _TOP_COLUMNS = [
 
 
 @query(
-    f"""SELECT {", ".join(_TOP_COLUMNS)}, CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, remarks NULLS FIRST) AS INTEGER) AS rank
+    f"""SELECT {", ".join(_TOP_COLUMNS)}, CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, idle_area DESC NULLS LAST, remarks NULLS FIRST) AS INTEGER) AS rank
 FROM served WHERE region = '경기' AND {_NEWEST} AND sigungu LIKE '%시%' ORDER BY rank LIMIT 15"""
 )
 def top_sites(t: Tables) -> DataFrame:
@@ -44,7 +44,7 @@ def _letter(score: str) -> str:
 
 
 @query(
-    f"""SELECT CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, remarks NULLS FIRST) AS INTEGER) AS rank,
+    f"""SELECT CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, idle_area DESC NULLS LAST, remarks NULLS FIRST) AS INTEGER) AS rank,
   name, CAST(round_even(total, 0) AS BIGINT) AS total, {_letter("profitability")} AS profitability, {_letter("suitability")} AS suitability,
   CASE parking WHEN 5 THEN 'A' WHEN 4 THEN 'B' WHEN 3 THEN 'C' WHEN 2 THEN 'D' WHEN 1 THEN 'E' END AS parking, contract_status, remarks
 FROM served WHERE region = '경기' AND {_NEWEST} AND sigungu LIKE '%시%' ORDER BY rank LIMIT 15"""
