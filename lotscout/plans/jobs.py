@@ -78,8 +78,15 @@ class Lake:
     ) -> DataFrame:
         return schemas.to_domain(self.latest(name, levels), names)
 
-    def write(self, df: DataFrame, name: str, levels: tuple[str, ...] = MONTHLY) -> None:
-        write_snapshot(df, self.path(name), stamp_values(self.as_of, levels))
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        levels: tuple[str, ...] = MONTHLY,
+        may_be_empty: bool = False,
+    ) -> None:
+        values = stamp_values(self.as_of, levels)
+        write_snapshot(df, self.path(name), values, may_be_empty=may_be_empty)
 
 
 def run_monthly(lake: Lake) -> None:
@@ -105,7 +112,8 @@ def run_weekly(lake: Lake, region: str | None, changed_days: int | None = None)
     fetch = stages.s1_fetch_list(
         lake.latest("s1_candidates", WEEKLY), lake.as_of, changed_days
     )
-    lake.write(schemas.to_source(fetch, FETCH_NAMES), "s1_fetch_list", WEEKLY)
+    fetch = schemas.to_source(fetch, FETCH_NAMES)
+    lake.write(fetch, "s1_fetch_list", WEEKLY, may_be_empty=changed_days is not None)
 
 
 def run_gold(lake: Lake) -> None:

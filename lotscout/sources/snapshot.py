@@ -51,16 +51,24 @@ def snapshot_path(base: str, values: dict[str, int]) -> str:
 
 
 def write_snapshot(
-    df: DataFrame, base: str, values: dict[str, int], partition: Sequence[str] = ("region",)
+    df: DataFrame,
+    base: str,
+    values: dict[str, int],
+    partition: Sequence[str] = ("region",),
+    may_be_empty: bool = False,
 ) -> str:
     """Overwrite one snapshot directory, partitioned inside it.
 
     The rebalance hint gathers each region into few files and splits a region that outgrows one
-    task, so neither tiny files nor one hot writer appear.
+    task, so neither tiny files nor one hot writer appear. An empty snapshot is an error unless
+    expected: it has no files, so readers of the newest snapshot would fall back to an older one.
     """
     path = snapshot_path(base, values)
     out = df.drop(*values).hint("rebalance", *partition)
     out.write.mode("overwrite").partitionBy(*partition).parquet(path)
+    written = df.sparkSession.read.schema(out.schema).parquet(path)
+    if not may_be_empty and written.isEmpty():
+        raise ValueError(f"no rows for {path}")
     return path
 
 
