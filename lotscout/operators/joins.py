@@ -1,7 +1,13 @@
 """Equi joins of the chain, shaped so that no group has to fit one task.
 
 No side is broadcast by hint: Spark broadcasts a side only when its measured size is under
-spark.sql.autoBroadcastJoinThreshold, and adaptive skew handling splits hot join keys.
+spark.sql.autoBroadcastJoinThreshold. Hot join keys are left to adaptive skew handling, which splits
+a side of an inner join, and the left side of a left, semi or anti join. Two things follow:
+
+* a lookup table that was just grouped by the join key should be a written table, because Spark
+  splits only sides that are shuffled for the join itself;
+* the right side of an outer, semi or anti join must not be hot, so it is made distinct first, or the
+  outer join is put together from an inner and an anti join.
 """
 
 from __future__ import annotations
@@ -12,11 +18,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotscout.sources.snapshot import stage_table
+
+
+def _without_shared(right: DataFrame, left: DataFrame, on: Sequence[str]) -> DataFrame:
+    return right.drop(*[c for c in right.columns if c in left.columns and c not in on])
+
+
+def left_join_one(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a table with one row per key.
+
+    Of columns both sides carry (such as the region) the left copy is kept.
+    """
+    return left.join(_without_shared(right, left, on), list(on), "left")
+
+
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a table with any number of rows per key, also very many for one key.
 
-def left_join_detail(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join that keeps the left copy of columns both sides carry (such as the region)."""
-    shared = [c for c in right.columns if c in left.columns and c not in on]
-    return left.join(right.drop(*shared), list(on), "left")
+    The matching part is an inner join, which can be split on either side; the rest is padded.
+    """
+    on = list(on)
+    matched = left.join(_without_shared(right, left, on), on)
+    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def with_single_child(
@@ -53,9 +78,12 @@ def with_single_child(
 
 
 def in_groups_with(df: DataFrame, group: Sequence[str], marker: str) -> DataFrame:
-    """Rows of the groups in which at least one row has the marker column. NULL keys never match."""
+    """Rows of the groups in which at least one row has the marker column. NULL keys never match.
+
+    The marked groups are written first, one row each, so that a hot group is split in the join.
+    """
     marked = df.filter(F.col(marker).isNotNull()).select(*group).distinct()
-    return df.join(marked, list(group), "left_semi")
+    return df.join(stage_table(marked, "marked_groups"), list(group), "left_semi")
 
 
 def union_padded(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -73,11 +101,11 @@ def map_codes(df: DataFrame, codes: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def unmapped(df: DataFrame, codes: DataFrame, on: Sequence[str]) -> DataFrame:
     """Report of the key values a code map does not know."""
-    return df.select(*on).distinct().join(codes.select(*on), list(on), "left_anti")
+    return df.select(*on).distinct().join(codes.select(*on).distinct(), list(on), "left_anti")
 
 
 def without_pairs(df: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Drop rows whose key is listed."""
+    """Drop rows whose key is listed; the list names a key once."""
     return df.join(pairs, list(on), "left_anti")
 
 
@@ -87,4 +115,5 @@ def pending(wanted: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
     Null-safe keys hash as (is null, value or zero value), so this stays an equi join.
     """
     same = [F.col(f"wanted.{c}").eqNullSafe(F.col(f"done.{c}")) for c in on]
-    return wanted.alias("wanted").join(done.alias("done"), same, "left_anti")
+    known = done.select(*on).distinct().alias("done")
+    return wanted.alias("wanted").join(known, same, "left_anti")

@@ -16,7 +16,13 @@ from lotscout.functions.text import nfc_strip
 from lotscout.plans import clean, stages
 from lotscout.session import tuned
 from lotscout.sources import schemas
-from lotscout.sources.snapshot import LEVELS, read_latest, replace_snapshots, write_snapshot
+from lotscout.sources.snapshot import (
+    LEVELS,
+    read_latest,
+    replace_snapshots,
+    stage_table,
+    write_snapshot,
+)
 
 MONTHLY = LEVELS[:2]
 WEEKLY = LEVELS
@@ -122,7 +128,8 @@ def run_gold(lake: Lake) -> None:
     ownership = ownership.withColumn("change_date", F.try_to_date(F.col("change_date").cast("string")))
     owned = stages.s2_owner(lake.latest("s1_candidates", WEEKLY), ownership)
     lake.write(owned, "s2_owner", WEEKLY)
-    sites = stages.gold_sites(lake.latest("s2_owner", WEEKLY))
+    matched = lake.latest("s2_owner", WEEKLY)
+    sites = stages.gold_sites(matched, stage_table(stages.lot_areas(matched), "lot_areas"))
     lake.write(schemas.to_source(sites, schemas.SITE_NAMES), "gold_sites", WEEKLY)
 
 

@@ -13,7 +13,7 @@ from lotscout.operators.aggregates import max_then_sum, smallest_per_group
 from lotscout.operators.filters import changed_since, present
 from lotscout.operators.joins import (
     in_groups_with,
-    left_join_detail,
+    left_join_one,
     union_padded,
     with_single_child,
 )
@@ -26,7 +26,7 @@ PARKABLE = ("대", "잡종지", "주차장")
 
 def s0_address(address: DataFrame, coord: DataFrame) -> DataFrame:
     """Road addresses with parcel id and WGS84 position."""
-    joined = left_join_detail(address, coord, ["road_address"])
+    joined = left_join_one(address, coord, ["road_address"])
     return geo.with_wgs84(joined).select(
         "region", "parcel_id", "road_address", "longitude", "latitude"
     )
@@ -94,21 +94,22 @@ def s2_owner(candidates: DataFrame, ownership: DataFrame) -> DataFrame:
     return candidates.join(unique, [*key, "region"])
 
 
+LOT = ["dong", "lot_main", "owner", "region"]
+
+
+def lot_areas(owned: DataFrame) -> DataFrame:
+    """Free ground of an owner in a lot group: each lot once, adjacent lots added up."""
+    return max_then_sum(owned, LOT, "lot_sub", "idle_area")
+
+
 def gold_sites(
-    owned: DataFrame, weights: score.ScoreWeights = score.DEFAULT_WEIGHTS
+    owned: DataFrame, areas: DataFrame, weights: score.ScoreWeights = score.DEFAULT_WEIGHTS
 ) -> DataFrame:
-    """Scored restaurants, each with the whole free ground its owner has in the lot group.
-
-    `owned` is read twice (detail and area); pass a written stage where it is expensive.
-    """
-    lot = ["dong", "lot_main", "owner", "region"]
-    area = max_then_sum(owned, lot, "lot_sub", "idle_area")
+    """Scored restaurants, each with the whole free ground its owner has in the lot group."""
     detail = (
-        present(owned, "name")
-        .drop("lot_sub", "parcel_id", "idle_area")
-        .dropDuplicates()
+        present(owned, "name").drop("lot_sub", "parcel_id", "idle_area").dropDuplicates()
     )
-    sites = detail.join(area, lot, "left")
+    sites = left_join_one(detail, areas, LOT)
     parts = score.score_parts(
         F.col("biz_type"),
         F.col("rep"),

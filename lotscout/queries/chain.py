@@ -13,7 +13,11 @@ from lotscout.sources.snapshot import stage_table
 
 
 class Chain:
-    """Stages over the domain roles. Stages that feed more than one reader are written once."""
+    """Stages over the domain roles.
+
+    Written between them, as the jobs do, are the stages that feed more than one reader or are
+    looked up by the key they were grouped by.
+    """
 
     def __init__(self, t: Tables):
         self.t = t
@@ -37,7 +41,7 @@ class Chain:
 
     @cached_property
     def located(self) -> DataFrame:
-        return stages.s1_located(self.restaurant, self.address)
+        return stages.s1_located(self.restaurant, stage_table(self.address, "s0_address"))
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -51,7 +55,8 @@ class Chain:
 
     @cached_property
     def gold(self) -> DataFrame:
-        return stages.gold_sites(stage_table(self.owned, "s2_owner"))
+        owned = stage_table(self.owned, "s2_owner")
+        return stages.gold_sites(owned, stage_table(stages.lot_areas(owned), "lot_areas"))
 
 
 def _rounded_position(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from lotscout.plans import clean, regional
 from lotscout.plans.stages import PARKABLE
 from lotscout.queries import oracle
 from lotscout.queries.registry import Tables, query
+from lotscout.sources.snapshot import stage_table
 
 
 @query(
@@ -46,7 +47,7 @@ def exclude_pairs_anti(t: Tables) -> DataFrame:
 @query("SELECT parcel_id, road_address, a.region, x, y FROM clean_address a LEFT JOIN clean_coord c USING (road_address)")
 def join_left_coord(t: Tables) -> DataFrame:
     address, coord = clean.clean_address(t.bronze_address), clean.clean_coord(t.bronze_coord)
-    joined = joins.left_join_detail(address, coord, ["road_address"])
+    joined = joins.left_join_one(address, coord, ["road_address"])
     return joined.select("parcel_id", "road_address", "region", "x", "y")
 
 
@@ -58,9 +59,8 @@ def join_left_building(t: Tables) -> DataFrame:
     small = t.lineitem.filter(F.col("l_quantity") <= 15).select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity"
     )
-    return joins.left_join_detail(
-        t.orders.select("o_orderkey", "o_totalprice"), small, ["o_orderkey"]
-    )
+    parents = t.orders.select("o_orderkey", "o_totalprice")
+    return joins.left_join_many(parents, small, ["o_orderkey"])
 
 
 @query(
@@ -121,9 +121,10 @@ LEFT JOIN (SELECT l_partkey, l_suppkey, sum(q) AS qty FROM (SELECT l_partkey, l_
 )
 def gold_join_area(t: Tables) -> DataFrame:
     group = ["l_partkey", "l_suppkey"]
-    area = aggregates.max_then_sum(t.lineitem, group, "l_linenumber", "l_quantity", "qty")
+    sums = aggregates.max_then_sum(t.lineitem, group, "l_linenumber", "l_quantity", "qty")
+    area = stage_table(sums, "part_quantities")
     detail = t.lineitem.filter(F.col("l_returnflag") != "N").select(*group, "l_returnflag")
-    joined = detail.dropDuplicates().join(area, group, "left")
+    joined = joins.left_join_one(detail.dropDuplicates(), area, group)
     return joined.withColumn("qty", F.round("qty", 6))
 
 
@@ -209,7 +210,8 @@ def _importance(t: Tables) -> DataFrame:
         .when(F.col("n_nationkey") == 8, "NATION_8/MACHINERY")
         .alias("sigungu"),
     ).filter(F.col("sigungu").isNotNull())
-    return regional.regional_importance(_district_counts(t), codes, listed)
+    sheet = stage_table(_district_counts(t), "district_counts")
+    return regional.regional_importance(sheet, codes, listed)
 
 
 @query(

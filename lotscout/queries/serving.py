@@ -12,7 +12,7 @@ from lotscout.queries.registry import Tables, query
 from lotscout.queries.relational import _ZSCORES, _importance, _LISTED
 from lotscout.queries.roles import Role
 from lotscout.sources import schemas
-from lotscout.sources.snapshot import latest_snapshot
+from lotscout.sources.snapshot import latest_snapshot, stage_table
 
 TARGET = "경기 가시"
 _NEWEST = """(year, month, week) = (SELECT (year, month, week) FROM served WHERE region = '경기'
@@ -120,7 +120,7 @@ FROM served s LEFT JOIN ({_LATEST_EDITS}) e ON s.name = e.name AND s.road_addres
 )
 def rescore_with_edits(t: Tables) -> DataFrame:
     edits = serve.latest_edits(t.edit_log, ["name", "road_address"], ["ts", "event_id"])
-    return serve.apply_edits(t.served, edits).withColumn("total", F.round("total", 6))
+    return serve.apply_edits(t.served, stage_table(edits, "edits")).withColumn("total", F.round("total", 6))
 
 
 _SHOWN = Role(
