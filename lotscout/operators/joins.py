@@ -49,7 +49,7 @@ def with_single_child(
     children: DataFrame,
     key: str,
     child_key: str,
-    keyless_children: bool = True,
+    keyless_children: bool | None = None,
 ) -> DataFrame:
     """Parents with at most one identified child, left joined to that child.
 
@@ -57,12 +57,15 @@ def with_single_child(
     reduced to one row per parent before they are shuffled, so a parent with very many children
     never gathers them. Parents must be unique by `key`.
 
-    Children without a child key do not count, but are joined to the parents that are kept. Pass
-    keyless_children=False where the child key is never NULL, which saves a scan.
+    Children without a child key do not count, but are joined to the parents that are kept. Unless
+    the caller says whether there are any, they are looked for, which on a written table mostly reads
+    the null counts of the files.
     """
     payload = [c for c in children.columns if c != key and c not in parents.columns]
     held = children.select(key, *payload).filter(F.col(key).isNotNull())
     identified = F.col(child_key).isNotNull()
+    if keyless_children is None:
+        keyless_children = not held.filter(~identified).isEmpty()
     summary = held.groupBy(key).agg(
         F.count(child_key).alias("n"),
         F.count_if(~identified).alias("keyless"),

@@ -147,14 +147,20 @@ def _load(
     aliases: dict[str, str],
     required: tuple[str, ...] = (),
     keys: tuple[str, ...] | None = None,
+    stamp: dict[str, Column] | None = None,
     defaults: dict[str, Column] | None = None,
 ) -> None:
     newest = read_latest(lake.spark, lake.path(name), levels)
-    rows = schemas.conform(newest, schema, aliases=aliases, defaults=defaults)
+    rows = schemas.conform(newest, schema, stamp, aliases, defaults)
     rows = _normalized(schemas.require_text(rows, required))
     replace_snapshots(rows, served, levels if keys is None else keys)
 
 
+def served_table(spark: SparkSession, served: str, schema: T.StructType) -> DataFrame:
+    """A served table with its declared types, snapshot columns included."""
+    return tuned(spark).read.schema(schema).parquet(served)
+
+
 def load_sites(lake: Lake, served: str) -> None:
     """Newest gold sites into the served table, in place of an earlier load of that snapshot."""
     _load(
@@ -170,9 +176,11 @@ def load_sites(lake: Lake, served: str) -> None:
 
 
 def load_districts(lake: Lake, served: str) -> None:
-    """Newest district importance into the served table."""
+    """Newest district importance into the served table, with year and two-digit month as text."""
     aliases = {"SHP_CD": "shp_code", "전략적_중요도": "importance"}
-    _load(lake, "gold_districts", MONTHLY, served, schemas.SERVED_DISTRICT, aliases)
+    month = F.lpad(F.col("month").cast("string"), 2, "0")
+    stamp = {"year": F.col("year").cast("string"), "month": month}
+    _load(lake, "gold_districts", MONTHLY, served, schemas.SERVED_DISTRICT, aliases, stamp=stamp)
 
 
 def load_lots(lake: Lake, served: str) -> None:

@@ -36,7 +36,7 @@ def s0_parcel(
     parcel: DataFrame,
     building: DataFrame,
     categories: Sequence[str] = PARKABLE,
-    keyless_buildings: bool = True,
+    keyless_buildings: bool | None = None,
 ) -> DataFrame:
     """Parkable parcels with no or one building, and the ground left free.
 

@@ -78,3 +78,14 @@ def read_delimited(
     fields = string_fields(F.col("line"), columns, sep, blank_as_null)
     extra = [] if region is None else [region.alias("region")]
     return lines.select(*fields, *extra)
+
+
+def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> list[str]:
+    """Column names in the first line of a file with a header. One line reaches the driver."""
+    line = spark.read.text(paths).select(F.col("value").cast("binary").alias("value")).first()
+    raw = bytes(line["value"])
+    try:
+        text = raw.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        text = raw.decode("cp949")
+    return [name.strip().strip('"') for name in text.split(sep)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotscout.functions.dates import week_of_month
 from lotscout.operators import serve
-from lotscout.plans import jobs, stages
+from lotscout.plans import jobs, landing, stages
 from lotscout.sources import schemas
 from lotscout.sources.snapshot import write_snapshot
 
@@ -104,9 +104,76 @@ def test_other_loads(spark, lake, tmp_path):
     )
     districts.write.mode("overwrite").parquet(lake.path("gold_districts") + "/year=2026/month=02")
     jobs.load_districts(lake, str(tmp_path / "d"))
-    (row,) = spark.read.parquet(str(tmp_path / "d")).collect()
+    served = jobs.served_table(spark, str(tmp_path / "d"), schemas.SERVED_DISTRICT)
+    (row,) = served.collect()
     assert (row.shp_code, row.cargo_count, row.importance) == ("41220", 10, 1.5)
+    assert (row.year, row.month) == ("2026", "02")
     lots = spark.createDataFrame([("가", "나", 37.0, None)], "`공영차고지명` string, `주소` string, lat double, lon double")
     lots.write.mode("overwrite").parquet(lake.path("gold_lots") + "/year=2026/month=02")
     jobs.load_lots(lake, str(tmp_path / "l"))
     assert serve.located(spark.read.parquet(str(tmp_path / "l"))).isEmpty()
+
+
+def text_file(folder, name, *lines, charset="cp949"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes("\n".join(lines).encode(charset))
+    return str(folder)
+
+
+def test_landing_feeds_the_chain(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), AS_OF)
+    address = {
+        "법정동코드": "4183010100", "시도명": "경기도", "시군구명": "양평군", "도로명": "용문로",
+        "건물본번": "5", "건물부번": "0",
+    }
+    source = {"산여부": "0", "지번본번(번지)": "12", "지번부번(호)": "1"}
+    row = "|".join({**address, **source}.get(c, "") for c in schemas.ADDRESS_COLUMNS)
+    landing.land_address(lake, text_file(tmp_path / "a", "rnaddrkor_gyunggi.txt", row))
+    row = "|".join({**address, "X좌표": "1000000", "Y좌표": "2000000"}.get(c, "") for c in schemas.COORD_COLUMNS)
+    landing.land_coord(lake, text_file(tmp_path / "c", "entrc_gyunggi.txt", row, charset="utf-8"))
+    building = {
+        "관리_건축물대장_PK": "b1", "대장_구분_코드": "1", "시군구_코드": "41830", "법정동_코드": "10100",
+        "대지_구분_코드": "0", "번": "0012", "지": "0001", "건축_면적(㎡)": "100",
+    }
+    lines = [
+        "|".join({**building, "대지_위치": place}.get(c, "") for c in schemas.BUILDING_COLUMNS)
+        for place in ("경기도 양평군 용문면 12-1", "어딘가 12-1")
+    ]
+    landing.land_building(lake, text_file(tmp_path / "b", "mart.txt", *lines), (2026, 2))
+    header = ",".join(schemas.PARCEL_NAMES).removesuffix(",region")
+    parcel = "4183010100100120001,경기도 양평군 용문면,12-1,대,1100,0,2020-01-01,01"
+    landing.land_parcel(
+        lake, text_file(tmp_path / "p", "AL_D160_41_202602.csv", header, parcel, charset="euc-kr")
+    )
+    assert landing.previous_month(lake) == (2026, 2)
+    jobs.run_monthly(lake)
+    (place,) = lake.latest("s0_address").collect()
+    assert place.road_address == "경기도 양평군 용문로 5" and place.latitude == pytest.approx(38.0)
+    (parcel,) = lake.latest("s0_parcel").collect()
+    assert (parcel.idle_area, parcel.region) == (1000.0, "경기")
+
+
+def test_other_landings(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), AS_OF)
+    lines = spark.createDataFrame(
+        [("경기도_양평군_용문면_12-1_2020-01-01", 1, 1, "홍길동 외 2인"), ("평양_12_2020-01-01", 1, 1, "김가나")],
+        "doc string, page int, line_no int, text string",
+    )
+    landing.land_ownership(lake, lines)
+    (owner,) = lake.latest("ownership", jobs.WEEKLY).collect()
+    assert (owner["주소"], owner["지주"], owner.region) == ("경기도 양평군 용문면", "홍길동", "경기")
+
+    sheet = spark.createDataFrame([("경기", "평택시", "1,200"), ("경기", "계", "1,200"), ("서울", "중구", "3")], "sido string, sigungu string, cargo_count string")
+    codes = spark.createDataFrame([("경기", "평택시", "41220")], "sido string, sigungu string, shp_code string")
+    landing.land_districts(lake, sheet, codes, (2026, 2))
+    jobs.load_districts(lake, str(tmp_path / "served"))
+    served = {r.sigungu: r for r in spark.read.parquet(str(tmp_path / "served")).collect()}
+    assert served["평택시"].shp_code == "41220" and served["중구"].shp_code is None
+    shapes = spark.createDataFrame([(41220, "Pyeongtaek")], "shp_code int, name string")
+    (shown,) = serve.district_map(spark.read.parquet(str(tmp_path / "served")), shapes).collect()
+    assert shown.name == "Pyeongtaek" and shown.cargo_count == 1200
+
+    files = text_file(tmp_path / "s", "상가정보_경기_202409.csv", "상호명,주소", '"가, 게",나', charset="utf-8-sig")
+    landing.land_stores(lake, files, str(tmp_path / "stores"), "2024Q3")
+    (store,) = spark.read.parquet(str(tmp_path / "stores")).collect()
+    assert (store["상호명"], store.region, store.dataset) == ("가, 게", "경기", "2024Q3")
