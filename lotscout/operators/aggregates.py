@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotscout.sources.snapshot import stage_table
+
 
 def max_then_sum(
     df: DataFrame, group: Sequence[str], within: str, value: str, name: str | None = None
@@ -38,8 +40,9 @@ def two_level_zscore(
     """Weighted sum of an outer group's z-score and a row's z-score inside its outer group.
 
     Sample deviations. Inside a group of one row, or of equal values, the inner score is 0. With
-    one outer group, or equal totals, the outer score and the importance are NULL. The outer table
-    has one row per group and is joined back; nothing is windowed over a whole group or table.
+    one outer group, or equal totals, the outer score and the importance are NULL. Nothing is
+    windowed over a whole group or table: the scores of the outer groups, one row each, are written
+    and joined back, which needs no shuffle of the rows while they are few.
     """
     groups = df.groupBy(outer).agg(
         F.avg(value).alias("_mean"),
@@ -57,7 +60,7 @@ def two_level_zscore(
     inner = _z(F.col(value), F.col("_mean"), F.col("_std"), F.lit(0.0))
     importance = outer_weight * F.col("outer_zscore") + inner_weight * F.col("inner_zscore")
     return (
-        df.join(scored, outer, "left")
+        df.join(stage_table(scored, "outer_scores"), outer, "left")
         .withColumn("inner_zscore", inner)
         .withColumn("importance", importance)
         .drop("_mean", "_std")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotscout.functions.score import grade, parking_grade, total_score
 from lotscout.operators.latest import latest_per_key
+from lotscout.sources.regions import REGION_ALIASES
 from lotscout.sources.schemas import DEFAULT_STATUS, SITE_KEY
 from lotscout.sources.snapshot import LEVELS, latest_snapshot
 
@@ -20,9 +21,9 @@ def ranked_top(df: DataFrame, n: int, order: Sequence[Column], rank: str = "rank
 
 
 def split_target(target: str) -> tuple[str, str]:
-    """"region rest of the district" to (region, district)."""
-    region, _, district = target.strip().partition(" ")
-    return region, district.strip()
+    """"region rest of the district" to (short region, district)."""
+    region, *district = target.split() or [""]
+    return REGION_ALIASES.get(region, region), " ".join(district)
 
 
 def sites_of_district(sites: DataFrame, target: str) -> DataFrame:

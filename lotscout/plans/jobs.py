@@ -48,7 +48,7 @@ FOLDERS = {
     "s2_owner": "silver/s2/toji_owner_match",
     "gold_sites": "gold/restaurant",
     "gold_districts": "gold/chajoo_dist",
-    "gold_lots": "gold/truckhelper_parking_area",
+    "gold_lots": "gold/parking_area",
 }
 FETCH_NAMES = {
     "법정동명": "dong", "본번": "lot_main", "소유권변동일자": "change_date", "부번": "lot_sub",
@@ -68,13 +68,16 @@ def stamp_values(day: date, levels: tuple[str, ...]) -> dict[str, int]:
 
 
 class Lake:
-    """Tables of a lake folder by name."""
+    """Tables of a lake folder by name; `folders` replaces some of their places."""
 
-    def __init__(self, spark: SparkSession, root: str, as_of: date):
+    def __init__(
+        self, spark: SparkSession, root: str, as_of: date, folders: dict[str, str] | None = None
+    ):
         self.spark, self.root, self.as_of = tuned(spark), root.rstrip("/"), as_of
+        self.folders = {**FOLDERS, **(folders or {})}
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{FOLDERS[name]}"
+        return f"{self.root}/{self.folders[name]}"
 
     def latest(self, name: str, levels: tuple[str, ...] = MONTHLY) -> DataFrame:
         return read_latest(self.spark, self.path(name), levels).drop(*levels)

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotscout.sources.snapshot import stage_table
+
 KOREAN_CHARSET = "x-windows-949"  # superset of euc-kr
 BOM = "\ufeff"
 
@@ -28,8 +30,9 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(file_path, file_name, line) of text files in UTF-8 or the Korean charset.
 
     The choice is made per file: UTF-8 if every line of it is valid UTF-8. Files stay splittable,
-    because a line break byte never occurs inside a character of either charset. Blank lines and
-    a leading byte order mark are dropped.
+    because a line break byte never occurs inside a character of either charset. The choices are
+    written, one row per file, so that they can be broadcast and the text is not shuffled. Blank
+    lines and a leading byte order mark are dropped.
     """
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -37,6 +40,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         "value",
     )
     charset = raw.groupBy("file_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    charset = stage_table(charset, "charsets")
     with java_charsets(spark):
         decoded = F.decode(F.col("value").cast("binary"), KOREAN_CHARSET)
         text = F.when(F.col("utf8"), F.col("value")).otherwise(decoded)

@@ -280,7 +280,8 @@ def test_top_is_a_bounded_sort(spark):
 
 
 def test_target_and_audits(spark):
-    assert serve.split_target(" 경기도 수원시 팔달구 ") == ("경기도", "수원시 팔달구")
+    assert serve.split_target(" 경기도 수원시 팔달구 ") == ("경기", "수원시 팔달구")
+    assert serve.split_target("경기") == ("경기", "") and serve.split_target(" ") == ("", "")
     df = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "year int, month int")
     assert rows(serve.pk_duplicates(df, ["year", "month"])) == [(1, 1, 2)]
     expected = spark.createDataFrame([(1, 1), (3, 1)], "year int, month int")

@@ -52,6 +52,18 @@ def test_subquery_prunes_directories(spark, sites, tmp_path):
     assert {r.month for r in months} == {6}
 
 
+def test_hot_region_is_written_by_several_tasks(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256KB")
+    region = F.when(F.col("id") % 3 == 0, "경기").otherwise((F.col("id") % 5).cast("string"))
+    df = spark.range(0, 90_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), region.alias("region"))
+    path = snap.write_snapshot(df, str(tmp_path / "t"), {"year": 2024, "month": 1})
+    spark.conf.set(key, before)
+    assert len(list((tmp_path / "t").rglob("region=경기/*.parquet"))) > 1
+    assert spark.read.parquet(path).count() == 90_000
+
+
 def test_replace_is_idempotent_and_drops_lost_regions(spark, sites, tmp_path):
     base = str(tmp_path / "t")
     stamped = sites.withColumn("year", F.lit(2024)).withColumn("month", F.col("id"))
