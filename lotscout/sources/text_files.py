@@ -50,16 +50,10 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def string_fields(
-    line: Column, columns: Sequence[str], sep: str = "|", blank_as_null: bool = False
-) -> list[Column]:
-    """Named string fields of a line; a line with another number of fields is an error."""
+def string_fields(line: Column, columns: Sequence[str], sep: str = "|") -> Column:
+    """Struct of string fields of a line; a line with another number of fields is an error."""
     schema = ", ".join(f"`{name}` string" for name in columns)
-    fields = F.from_csv(line, schema, {"sep": sep, "mode": "FAILFAST"})
-    values = [fields.getField(name) for name in columns]
-    if not blank_as_null:
-        values = [F.coalesce(v, F.lit("")) for v in values]
-    return [v.alias(name) for v, name in zip(values, columns)]
+    return F.from_csv(line, schema, {"sep": sep, "mode": "FAILFAST"})
 
 
 def read_delimited(
@@ -79,9 +73,14 @@ def read_delimited(
     if header:
         names = F.replace(F.col("line"), F.lit('"'), F.lit(""))
         lines = lines.filter(names != sep.join(columns))
-    fields = string_fields(F.col("line"), columns, sep, blank_as_null)
+    # a projection of its own, so that each line is parsed once and not once per column
+    row = string_fields(F.col("line"), columns, sep).alias("row")
     extra = [] if region is None else [region.alias("region")]
-    return lines.select(*fields, *extra)
+    fields = [F.col("row").getField(name) for name in columns]
+    if not blank_as_null:
+        fields = [F.coalesce(field, F.lit("")) for field in fields]
+    named = [field.alias(name) for field, name in zip(fields, columns)]
+    return lines.select(row, *extra).select(*named, *[c for c in ("region",) if extra])
 
 
 def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> list[str]:

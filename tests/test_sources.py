@@ -122,6 +122,14 @@ def test_blank_and_header(spark, tmp_path):
     assert sorted(map(tuple, df.collect())) == [("1", "12-1, 3"), ("2", None)]
 
 
+def test_lines_are_parsed_once_and_text_is_not_shuffled(spark, tmp_path):
+    write(tmp_path / "in" / "x.txt", "a|b|c\n", "utf-8")
+    df = text_files.read_delimited(spark, str(tmp_path / "in"), ["a", "b", "c"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_column_count_is_checked(spark, tmp_path):
     write(tmp_path / "in" / "x.txt", "a|b|c\na|b\n", "utf-8")
     with pytest.raises(Exception, match="(?i)malformed|columns"):
