@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotscout.session import tuned
 
@@ -34,3 +35,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotscout.llm.substring_dedup import remove_repeated_passages
 
     return remove_repeated_passages(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query()
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
