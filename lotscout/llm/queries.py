@@ -44,3 +44,17 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.decontaminate import find_benchmark
+
+    found = find_benchmark(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "n_near",
+    )
