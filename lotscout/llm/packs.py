@@ -22,7 +22,7 @@ from lotscout.llm import rolling
 from lotscout.sources.snapshot import stage_table
 
 U64 = np.uint64
-PACK_BYTES = 4 << 20
+PACK_BYTES = 3 << 20
 SHARD_BYTES = 32 << 20  # of text that a shard answers for
 PACK_SCHEMA = "pack long, doc_ids array<long>, bounds binary, body binary"
 BLOB_SCHEMA = "shard int, pack long, blob binary"

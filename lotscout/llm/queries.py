@@ -58,3 +58,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"), "n_near",
     )
+
+
+@query()
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"))

@@ -26,7 +26,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 def powers(n: int, base: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i mod 2**64 for i < n at least."""
     if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length())
+        size = -(-n // (1 << 20)) << 20
         made = []
         for b in (_BASES[base], pow(_BASES[base], -1, 1 << 64)):
             run = np.full(size, b, U64)
