@@ -19,14 +19,17 @@ def long(value) -> Column:
     return F.lit(value).cast("long")
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once per row, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def places(text: Column, pattern: Column | str) -> Column:
     """Array of (first, last, value) of the matches of a pattern, in code points, end exclusive.
 
     The pieces between matches and the matches themselves are laid end to end.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, pattern, F.lit(-1))
     kind = "array<struct<first:long,last:long,value:string>>"
 
     def add(done: Column, pair: Column) -> Column:
@@ -35,12 +38,14 @@ def places(text: Column, pattern: Column | str) -> Column:
         here = F.struct(first.alias("first"), last.alias("last"), pair["value"].alias("value"))
         return F.struct(last.alias("at"), F.concat(done["seen"], F.array(here)).alias("seen"))
 
-    start = F.struct(long(0).alias("at"), F.array().cast(kind).alias("seen"))
-    pairs = F.zip_with(
-        found, F.slice(pieces, 1, F.size(found)), lambda v, p: F.struct(v.alias("value"), p.alias("piece"))
-    )
-    walked = F.aggregate(pairs, start, add)
-    return F.when(F.size(found) == 0, F.array().cast(kind)).otherwise(walked["seen"])
+    def walked(found: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, F.lit(-1)), 1, F.size(found))
+        pairs = F.zip_with(found, pieces, lambda v, p: F.struct(v.alias("value"), p.alias("piece")))
+        start = F.struct(long(0).alias("at"), F.array().cast(kind).alias("seen"))
+        seen = F.aggregate(pairs, start, add)["seen"]
+        return F.when(F.size(found) == 0, F.array().cast(kind)).otherwise(seen)
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), walked)
 
 
 def total(values: Column) -> Column:

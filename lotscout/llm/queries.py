@@ -65,3 +65,39 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotscout.llm.quality_rules import judge
 
     return judge(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH split AS (
+      SELECT doc_id, md5(coalesce(text, '')) AS digest, string_split(text, chr(10)) AS lines FROM documents
+    ), line AS (
+      SELECT doc_id, digest, len(lines) AS n, unnest(lines) AS body, generate_subscripts(lines, 1) AS i FROM split
+    ), hashed AS (
+      SELECT *, ('0x' || substr(md5(body), 1, 7))::BIGINT AS h FROM line
+    ), rolled AS (
+      SELECT *, i = n OR (961 * coalesce(lag(h, 2) OVER w, 0) + 31 * coalesce(lag(h) OVER w, 0) + h) % 1000003 % 3 = 0 AS is_end
+      FROM hashed WINDOW w AS (PARTITION BY doc_id, digest ORDER BY i)
+    ), numbered AS (
+      SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id, digest ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM rolled
+    ), chunk AS (
+      SELECT doc_id, digest, chunk, count(*) AS size, string_agg(body, chr(10) ORDER BY i) AS body
+      FROM numbered GROUP BY ALL
+    ), judged AS (
+      SELECT *, size >= 2 AND length(body) >= 40
+        AND row_number() OVER (PARTITION BY body ORDER BY doc_id, digest, chunk) > 1 AS gone
+      FROM chunk
+    )
+    SELECT doc_id, sum(size)::BIGINT AS n_lines,
+      coalesce(sum(size) FILTER (gone), 0)::BIGINT AS n_removed,
+      count(*) FILTER (gone)::BIGINT AS n_chunks_removed,
+      sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.line_dedup import drop_repeated_chunks
+
+    cut = drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
