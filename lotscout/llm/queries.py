@@ -101,3 +101,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.pii import KINDS, find_personal_data, listed
+
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(f"n_{kind}" for kind in KINDS),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
