@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotscout.llm.features import is_training
 from lotscout.session import tuned
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +113,27 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(f"n_{kind}" for kind in KINDS),
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
     )
+
+
+def _verdict(rows: DataFrame, limit: float) -> DataFrame:
+    held_out = F.coalesce(~is_training(F.col("doc_id")), F.lit(False))
+    return rows.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"),
+        *(c for c in rows.columns if c not in ("doc_id", "score")),
+    )
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.quality_classifier import scored, trained
+
+    docs = table(spark, sf_dir, "documents")
+    return _verdict(scored(docs, trained(docs, table(spark, sf_dir, "labels")), ["doc_id"]), 0.5)
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.toxicity import scored, trained
+
+    docs = table(spark, sf_dir, "documents")
+    return _verdict(scored(docs, trained(docs, table(spark, sf_dir, "labels")), ["doc_id"]), 0.7)
