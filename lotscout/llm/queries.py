@@ -137,3 +137,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return _verdict(scored(docs, trained(docs, table(spark, sf_dir, "labels")), ["doc_id"]), 0.7)
+
+
+@query()
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.mixing import mixed
+
+    return mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
