@@ -144,3 +144,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotscout.llm.mixing import mixed
 
     return mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query()
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.suffix_dedup import remove_repeated_bytes
+
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), with_bytes=False)
