@@ -74,10 +74,9 @@ def drop_repeated_chunks(
     """`docs` with texts cut, and n_lines, n_removed (lines), n_chunks_removed."""
     added = ["n_lines", "n_removed", "n_chunks_removed"]
     own = [c for c in docs.columns if c not in added]
-    # columns of the caller are carried as one struct, so that no name can clash
-    rows = _keyed(docs.withColumn("text", F.col("text").cast("string"))).select(
-        *KEY, "text", F.struct(*own).alias("row")
-    )
+    # other columns of the caller are carried as one struct, so that no name can clash
+    others = F.struct(F.lit(0).alias("_none"), *(F.col(c) for c in own if c not in ("text", "n_chars")))
+    rows = _keyed(docs.withColumn("text", F.col("text").cast("string"))).select(*KEY, "text", others.alias("row"))
     chunks = _with_chunks(rows.select(*KEY, "text"), spread).select(*KEY, F.explode("chunks").alias("c"))
     chunks = chunks.where((F.col("c.size") >= min_lines) & (F.length("c.body") >= min_chars))
     places = stage_table(chunks.select(*KEY, "c.chunk", F.md5("c.body").alias("mark")), "line-chunks")
