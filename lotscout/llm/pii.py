@@ -34,7 +34,7 @@ ADDRESS_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}
 KINDS = ("email", "ip", "card", "phone")
 GENERALISED, REMOVED = "generalised", "removed"
 TERM = r"\p{L}{4,}+"
-BUCKETS = 1 << 16  # of term hashes; bounds what is broadcast at 65,536 short rows
+BUCKETS = 1 << 20  # of term hashes; bounds what is broadcast at about a million integers
 KEY = ["id_null", "id", "digest"]
 SPAN = "struct<kind:string,first:long,last:long>"
 
@@ -119,7 +119,11 @@ def disclosing_terms(
     near = mentions.select(
         *KEY, "entity", F.explode(F.array_distinct(F.regexp_extract_all("near", F.lit(TERM), F.lit(0)))).alias("term")
     ).distinct()
+    near = stage_table(near, "pii-near")
     joint = near.groupBy("entity", "term").agg(F.count("*").alias("n_joint")).where(F.col("n_joint") >= min_joint)
+    # a term has at least as many documents as it has near any entity, so this loses no term
+    around = near.select(*KEY, "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    joint = joint.join(around, "term").where(F.col("n_joint") >= min_probability * F.col("n_near"))
     joint = stage_table(joint, "pii-joint")
     of_entity = mentions.select(*KEY, "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     words = rows.select(F.explode(_terms(F.col("text"))).alias("term"))
