@@ -31,7 +31,7 @@ from lotscout.llm import packs as P
 
 U64 = np.uint64
 STEP = 1 << 22  # windows looked at together
-RUN_BYTES = 2 << 20  # of segments that are sorted together
+RUN_BYTES = 1 << 20  # of segments that are sorted together
 PLACE_BITS = U64(24)
 
 
@@ -68,7 +68,8 @@ def segments(body: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     first = np.flatnonzero(new & inside)
     breaks = np.flatnonzero(new | ~inside)
     after = np.append(breaks, n)[np.searchsorted(breaks, first) + 1]
-    return first, after - first, grams[least[first]]
+    # the smallest hashes are all small; mixed again they spread over the shards
+    return first, after - first, rolling.mix(grams[least[first]])
 
 
 class _Pack:
