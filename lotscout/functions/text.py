@@ -127,10 +127,21 @@ def owner_from_line(line: Column) -> Column:
     ).when(text.rlike(HANGUL_WORD), text)
 
 
+# ASCII and composed syllables: such text is in NFC already.
+COMPOSED = r"^[\x00-\x7F가-힣]*$"
+ASCII_SPACE_AT_ENDS = r"^[\x09-\x0D\x1C-\x20]+|[\x09-\x0D\x1C-\x20]+$"
+
+
 def nfc_strip(column: Column | str) -> Column:
-    """Unicode NFC, then strip. Spark has no built-in normaliser, so this is the one UDF."""
+    """Unicode NFC, then strip.
+
+    Spark has no built-in normaliser, so this is the one UDF; it gets only values that may change.
+    """
 
     def normalized(texts: pd.Series) -> pd.Series:
         return texts.map(lambda s: normalize("NFC", s).strip(), na_action="ignore")
 
-    return F.pandas_udf(normalized, StringType())(column)
+    value = F.col(column) if isinstance(column, str) else column
+    composed = value.rlike(COMPOSED)
+    changed = F.pandas_udf(normalized, StringType())(F.when(~composed, value))
+    return F.coalesce(changed, F.regexp_replace(value, ASCII_SPACE_AT_ENDS, ""))

@@ -45,39 +45,29 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Data
 
 
 def with_single_child(
-    parents: DataFrame,
-    children: DataFrame,
-    key: str,
-    child_key: str,
-    keyless_children: bool | None = None,
+    parents: DataFrame, children: DataFrame, key: str, child_key: str
 ) -> DataFrame:
-    """Parents with at most one identified child, left joined to that child.
+    """Parents with at most one identified child, left joined to their children.
 
     Equals joining first and keeping parents whose non-NULL child keys count 0 or 1. Children are
     reduced to one row per parent before they are shuffled, so a parent with very many children
-    never gathers them. Parents must be unique by `key`.
-
-    Children without a child key do not count, but are joined to the parents that are kept. Unless
-    the caller says whether there are any, they are looked for, which on a written table mostly reads
-    the null counts of the files.
+    never gathers them. Parents must be unique by `key`. Children without a child key do not
+    count, but are joined to the parents that are kept.
     """
     payload = [c for c in children.columns if c != key and c not in parents.columns]
     held = children.select(key, *payload).filter(F.col(key).isNotNull())
     identified = F.col(child_key).isNotNull()
-    if keyless_children is None:
-        keyless_children = not held.filter(~identified).isEmpty()
     summary = held.groupBy(key).agg(
         F.count(child_key).alias("n"),
         F.count_if(~identified).alias("keyless"),
         F.min(F.when(identified, F.struct(*payload))).alias("child"),
     )
     kept = parents.join(summary, key, "left").filter(F.coalesce("n", F.lit(0)) <= 1)
-    direct = kept.filter(F.col("n").isNull() | (F.col("n") == 1)) if keyless_children else kept
-    out = direct.select(*parents.columns, "child.*")
-    if not keyless_children:
-        return out
+    direct = kept.filter(F.col("n").isNull() | (F.col("n") == 1))
     with_keyless = kept.filter(F.col("keyless") > 0).select(*parents.columns)
-    return out.unionByName(with_keyless.join(held.filter(~identified), key))
+    return direct.select(*parents.columns, "child.*").unionByName(
+        with_keyless.join(held.filter(~identified), key)
+    )
 
 
 def in_groups_with(df: DataFrame, group: Sequence[str], marker: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The scheduled jobs over a lake folder: monthly, weekly, gold and load.
 
-Every job reads the newest snapshot of its inputs and overwrites the snapshot of `as_of` in its
-outputs, so that a rerun changes nothing. Between stages the data lives in written tables.
+Every job reads the newest snapshot of its inputs that is not after `as_of` and replaces the snapshot
+of `as_of` in its outputs, so that a rerun changes nothing, whatever snapshots came later. Between stages the data lives in written tables.
 """
 
 from __future__ import annotations
@@ -80,7 +80,8 @@ class Lake:
         return f"{self.root}/{self.folders[name]}"
 
     def latest(self, name: str, levels: tuple[str, ...] = MONTHLY) -> DataFrame:
-        return read_latest(self.spark, self.path(name), levels).drop(*levels)
+        upto = stamp_values(self.as_of, levels)
+        return read_latest(self.spark, self.path(name), levels, upto).drop(*levels)
 
     def raw(
         self, name: str, names: dict[str, str], levels: tuple[str, ...] = MONTHLY
@@ -153,7 +154,7 @@ def _load(
     stamp: dict[str, Column] | None = None,
     defaults: dict[str, Column] | None = None,
 ) -> None:
-    newest = read_latest(lake.spark, lake.path(name), levels)
+    newest = read_latest(lake.spark, lake.path(name), levels, stamp_values(lake.as_of, levels))
     rows = schemas.conform(newest, schema, stamp, aliases, defaults)
     rows = _normalized(schemas.require_text(rows, required))
     replace_snapshots(rows, served, levels if keys is None else keys)

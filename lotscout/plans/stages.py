@@ -12,13 +12,13 @@ from lotscout.functions import geo, score, text
 from lotscout.operators.aggregates import max_then_sum, smallest_per_group
 from lotscout.operators.filters import changed_since, present
 from lotscout.operators.joins import (
-    in_groups_with,
     left_join_one,
     union_padded,
     with_single_child,
 )
 from lotscout.operators.latest import first_per_key
 from lotscout.sources.schemas import SITE_NAMES
+from lotscout.sources.snapshot import stage_table
 
 # Land categories that can hold a parking lot.
 PARKABLE = ("대", "잡종지", "주차장")
@@ -36,16 +36,13 @@ def s0_parcel(
     parcel: DataFrame,
     building: DataFrame,
     categories: Sequence[str] = PARKABLE,
-    keyless_buildings: bool | None = None,
 ) -> DataFrame:
     """Parkable parcels with no or one building, and the ground left free.
 
     The category filter runs before the join: after the newest-row step it is one value per parcel.
     """
     parkable = parcel.filter(F.col("category").isin(*categories))
-    sparse = with_single_child(
-        parkable, building.drop("region"), "parcel_id", "building_pk", keyless_buildings
-    )
+    sparse = with_single_child(parkable, building.drop("region"), "parcel_id", "building_pk")
     free = score.idle_area(
         F.col("land_area"), F.col("building_area"), F.col("outdoor_parking_area")
     )
@@ -72,7 +69,11 @@ def s1_candidates(parcels: DataFrame, restaurants: DataFrame) -> DataFrame:
     with_restaurant = built_up.join(
         present(restaurants.drop("region"), "name"), "parcel_id"
     )
-    return in_groups_with(union_padded(with_restaurant, empty), ["dong", "lot_main"], "name")
+    # read twice: for the groups and as part of the result; its own groups are marked by definition
+    group = ["dong", "lot_main"]
+    marked = stage_table(with_restaurant.dropna(subset=group), "restaurant_parcels")
+    groups = stage_table(marked.select(*group).distinct(), "marked_groups")
+    return union_padded(marked, empty.join(groups, group, "left_semi"))
 
 
 def s1_fetch_list(

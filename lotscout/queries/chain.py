@@ -34,10 +34,7 @@ class Chain:
     @cached_property
     def parcel(self) -> DataFrame:
         building = clean.clean_building(self.t.bronze_building)
-        # building_pk is put together from keys that are never NULL
-        return stages.s0_parcel(
-            clean.clean_parcel(self.t.bronze_parcel), building, keyless_buildings=False
-        )
+        return stages.s0_parcel(clean.clean_parcel(self.t.bronze_parcel), building)
 
     @cached_property
     def located(self) -> DataFrame:

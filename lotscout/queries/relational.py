@@ -53,14 +53,14 @@ def join_left_coord(t: Tables) -> DataFrame:
 
 @query(
     "SELECT o_orderkey, o_totalprice, l_linenumber, l_partkey, l_quantity FROM orders "
-    "LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity <= 15) ON o_orderkey = l_orderkey"
+    "LEFT JOIN lineitem ON o_orderkey = CASE WHEN l_quantity <= 15 THEN l_orderkey ELSE -l_orderkey END"
 )
 def join_left_building(t: Tables) -> DataFrame:
-    small = t.lineitem.filter(F.col("l_quantity") <= 15).select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity"
-    )
+    # large items belong to no order, so that orders have no, one or many
+    key = F.when(F.col("l_quantity") <= 15, F.col("l_orderkey")).otherwise(-F.col("l_orderkey"))
+    items = t.lineitem.select(key.alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
     parents = t.orders.select("o_orderkey", "o_totalprice")
-    return joins.left_join_many(parents, small, ["o_orderkey"])
+    return joins.left_join_many(parents, items, ["o_orderkey"])
 
 
 @query(
@@ -76,18 +76,18 @@ def join_inner_geo(t: Tables) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, o_totalprice, pk, l_quantity FROM orders
-LEFT JOIN (SELECT *, l_partkey || '/' || l_suppkey AS pk FROM lineitem WHERE l_quantity <= 15) ON o_orderkey = l_orderkey
+LEFT JOIN (SELECT *, CASE WHEN l_quantity <= 15 THEN l_partkey || '/' || l_suppkey END AS pk FROM lineitem) ON o_orderkey = l_orderkey
 WHERE o_orderkey IN (SELECT o_orderkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity <= 15
   GROUP BY o_orderkey HAVING count(l_orderkey) <= 1)"""
 )
 def single_building(t: Tables) -> DataFrame:
-    small = t.lineitem.filter(F.col("l_quantity") <= 15).select(
+    items = t.lineitem.select(
         F.col("l_orderkey").alias("o_orderkey"),
-        F.concat_ws("/", "l_partkey", "l_suppkey").alias("pk"),
+        F.when(F.col("l_quantity") <= 15, F.concat_ws("/", "l_partkey", "l_suppkey")).alias("pk"),
         "l_quantity",
     )
     parents = t.orders.select("o_orderkey", "o_totalprice")
-    return joins.with_single_child(parents, small, "o_orderkey", "pk", keyless_children=False)
+    return joins.with_single_child(parents, items, "o_orderkey", "pk")
 
 
 @query(

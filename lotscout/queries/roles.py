@@ -22,7 +22,6 @@ class Role:
 
     table: str
     columns: dict[str, str]
-    where: str = "true"
     parcel: str | None = None
 
     def _base(self) -> list[str]:
@@ -32,11 +31,11 @@ class Role:
         return [f"{sql} AS {name}" for name, sql in self.columns.items()]
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = spark.read.parquet(f"{sf_dir}/{self.table}.parquet").where(self.where)
+        rows = spark.read.parquet(f"{sf_dir}/{self.table}.parquet")
         return rows.selectExpr(*self._base()).selectExpr(*self._columns())
 
     def sql(self) -> str:
-        base = f"SELECT {', '.join(self._base())} FROM {self.table} WHERE {self.where}"
+        base = f"SELECT {', '.join(self._base())} FROM {self.table}"
         return f"SELECT {', '.join(self._columns())} FROM ({base})"
 
 
@@ -173,7 +172,7 @@ ROLES: dict[str, Role] = {
     "bronze_building": Role(
         "lineitem",
         {
-            "building_pk": f"'B' || {text('l_orderkey')} || '-' || {text('l_linenumber')} || '-' || {text('l_partkey')} || '-' || {text('l_suppkey')}",
+            "building_pk": f"CASE WHEN l_partkey % 13 <> 0 THEN 'B' || {text('l_orderkey')} || '-' || {text('l_linenumber')} || '-' || {text('l_partkey')} || '-' || {text('l_suppkey')} END",
             "register_code": "CASE WHEN l_returnflag = 'N' THEN '2' ELSE '1' END",
             "sigungu_code": CODE5,
             "dong_code": f"lpad({text('g % 100000')}, 5, '0')",
@@ -184,8 +183,8 @@ ROLES: dict[str, Role] = {
             "outdoor_parking_area": f"CASE l_linenumber % 3 WHEN 0 THEN '' WHEN 1 THEN {text(whole('l_extendedprice / 50'))} ELSE NULL END",
             "region": REGION,
         },
-        "l_quantity <= 5",
-        parcel=whole("l_orderkey / 2"),
+        # spread so that parcels have no, one or many buildings
+        parcel=whole("(l_orderkey * 4 + l_linenumber) / 2"),
     ),
     "bronze_parcel": Role(
         "orders",
@@ -216,14 +215,13 @@ ROLES: dict[str, Role] = {
     "ownership": Role(
         "orders",
         {
-            "address": DONG,
+            "address": f"CASE WHEN o_orderstatus = 'P' THEN '미상 ' || {DONG} ELSE {DONG} END",
             "lot_main": text(MAIN),
             "lot_sub": f"CASE WHEN {SUB} = 0 THEN NULL ELSE {text(SUB)} END",
             "owner": pick("o_orderkey", person("k"), masked("k"), person("k + 1")),
             "change_date": "CAST(o_orderdate AS DATE)",
             "region": REGION,
         },
-        "o_orderstatus <> 'P'",
         parcel=whole("o_orderkey / 2"),
     ),
     # Served sites: one row per order, snapshots by order date; the last two years are one month.

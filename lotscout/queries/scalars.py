@@ -355,7 +355,7 @@ def pick_columns(t: Tables) -> DataFrame:
         "n": ["화물", "영업용"],
         "n_other": ["화물", "영업용", "기타"],
     }
-    names = {k: schemas.flatten_header(v) for k, v in header.items()}
+    names = {k: schemas.header_name(v) for k, v in header.items()}
     count = F.when(F.col("o_orderkey") % 7 == 0, "-").otherwise(
         F.format_number(F.col("o_orderkey") * 31, 0)
     )
@@ -367,10 +367,10 @@ def pick_columns(t: Tables) -> DataFrame:
         count.alias(names["n"]),
     )
     columns = sheet.columns
-    cargo = schemas.pick_column(columns, ["화물", "영업용"], shortest=True)
+    cargo = schemas.ranked_column(columns, [("화물", "영업용")])
     return sheet.select(
-        F.col(schemas.pick_column(columns, ["번호"])).alias("id"),
-        F.trim(schemas.pick_column(columns, ["시도명"])).alias("sido"),
+        F.col(schemas.ranked_column(columns, ["번호"])).alias("id"),
+        F.trim(schemas.ranked_column(columns, ["시도명"])).alias("sido"),
         text.amount_or_zero(F.col(cargo)).alias("cargo_count"),
     )
 
@@ -382,7 +382,9 @@ _LINES = Role(
         "doc": "CASE WHEN o_custkey % 2 = 0 THEN 'doc' ELSE 'place' END || '_' || CAST(o_custkey AS STRING)",
         "page": "o_orderkey % 5",
         "line_no": "o_orderkey",
-        "text": pick(
+        # some documents name no owner in any line
+        "text": "CASE WHEN o_custkey % 9 = 0 THEN 'No. ' || CAST(o_orderkey AS STRING) ELSE "
+        + pick(
             "o_orderkey",
             person("o_orderkey"),
             f"{person('o_orderkey')} || ' 외 3인'",
@@ -391,9 +393,9 @@ _LINES = Role(
             "' '",
             f"'  ' || {person('o_orderkey')} || '  '",
             f"{person('o_orderkey')} || '1'",
-        ),
+        )
+        + " END",
     },
-    "o_custkey % 9 <> 0 OR o_orderkey % 7 IN (2, 3, 4, 6)",
 )
 
 

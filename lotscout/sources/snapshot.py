@@ -29,20 +29,72 @@ def latest_snapshot(
 
 
 def read_latest(
-    spark: SparkSession, base: str, levels: Sequence[str] = LEVELS
+    spark: SparkSession,
+    base: str,
+    levels: Sequence[str] = LEVELS,
+    upto: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Read the newest snapshot below `base` with literal partition filters.
+    """Read the newest snapshot below `base`, not after `upto` if that is given.
 
-    Only the one-row maximum reaches the driver. A missing level or an empty table is an error.
+    It is found from directory names, level by level, so no file of another snapshot is opened or
+    listed. A missing level or an empty table is an error.
     """
-    table = spark.read.parquet(base)
-    missing = [c for c in levels if c not in table.columns]
-    if missing:
-        raise ValueError(f"no {missing[0]} partition in {base}")
-    newest = table.agg(F.max(F.struct(*levels)).alias("newest")).first()["newest"]
-    if newest is None:
-        raise ValueError(f"no snapshot in {base}")
-    return table.filter(reduce(Column.__and__, [F.col(c) == newest[c] for c in levels]))
+    bound = None if upto is None else tuple(upto[level] for level in levels)
+    path = _newest(spark, base.rstrip("/"), list(levels), bound)
+    if path is None:
+        raise ValueError(f"no snapshot in {base}" + ("" if bound is None else f" up to {bound}"))
+    parts = path.split("/")[-len(levels) :]
+    at = [F.col(c) == int(part.partition("=")[2]) for c, part in zip(levels, parts)]
+    return spark.read.option("basePath", base).parquet(path).filter(reduce(Column.__and__, at))
+
+
+def _newest(
+    spark: SparkSession, base: str, levels: list[str], bound: tuple[int, ...] | None
+) -> str | None:
+    """The directory with the largest level values within the bound; the walk goes back if a
+    directory has no snapshot that is early enough."""
+    if not levels:
+        return base
+    level, folder = levels[0], _folder(spark, base)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+    found = {int(n.split("=", 1)[1]): n for n in names if n.startswith(f"{level}=") and n.split("=", 1)[1].isdigit()}
+    if names and not found and not all(n.startswith(("_", ".")) for n in names):
+        raise ValueError(f"no {level} partition in {base}")
+    for value in sorted(found, reverse=True):
+        if bound is not None and value > bound[0]:
+            continue
+        rest = bound[1:] if bound is not None and value == bound[0] else None
+        path = _newest(spark, f"{base}/{found[value]}", levels[1:], rest)
+        if path is not None:
+            return path
+    return None
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a written folder in the place of another one, which is only then deleted."""
+    new, place = _folder(spark, fresh), _folder(spark, path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = _folder(spark, f"{path.rpartition('/')[0]}/_old-{uuid.uuid4().hex}")
+    fs.mkdirs(place.getParent())
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise OSError(f"cannot put {fresh} in place of {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def _beside(path: str) -> str:
+    """A fresh path next to `path` that readers of the table do not see."""
+    return f"{path.rpartition('/')[0]}/_new-{uuid.uuid4().hex}"
 
 
 def snapshot_path(base: str, values: dict[str, int]) -> str:
@@ -62,13 +114,18 @@ def write_snapshot(
     The rebalance hint gathers each region into few files and splits a region that outgrows one
     task, so neither tiny files nor one hot writer appear. An empty snapshot is an error unless
     expected: it has no files, so readers of the newest snapshot would fall back to an older one.
+    The rows are written beside the snapshot, checked there and then put in its place, so that a
+    failed or empty run leaves an earlier snapshot as it was.
     """
-    path = snapshot_path(base, values)
+    path = snapshot_path(base.rstrip("/"), values)
+    fresh, spark = _beside(path), df.sparkSession
     out = df.drop(*values).hint("rebalance", *partition)
-    out.write.mode("overwrite").partitionBy(*partition).parquet(path)
-    written = df.sparkSession.read.schema(out.schema).parquet(path)
-    if not may_be_empty and written.isEmpty():
+    out.write.partitionBy(*partition).parquet(fresh)
+    if not may_be_empty and spark.read.schema(out.schema).parquet(fresh).isEmpty():
+        folder = _folder(spark, fresh)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
         raise ValueError(f"no rows for {path}")
+    _swap_in(spark, fresh, path)
     return path
 
 
@@ -82,8 +139,15 @@ def replace_snapshots(df: DataFrame, base: str, keys: Sequence[str] = LEVELS) ->
     if keys:
         writer = df.hint("rebalance", *keys).write.partitionBy(*keys)
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(base)
-    elif not df.isEmpty():
-        df.write.mode("overwrite").parquet(base)
+        return
+    base, spark = base.rstrip("/"), df.sparkSession
+    fresh = _beside(base)
+    df.write.parquet(fresh)
+    if spark.read.schema(df.schema).parquet(fresh).isEmpty():
+        folder = _folder(spark, fresh)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    else:
+        _swap_in(spark, fresh, base)
 
 
 def shared_folder(spark: SparkSession) -> str:

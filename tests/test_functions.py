@@ -251,6 +251,12 @@ def test_regions(one):
 def test_column_lists():
     sizes = [len(c) for c in (schemas.ADDRESS_COLUMNS, schemas.COORD_COLUMNS, schemas.BUILDING_COLUMNS)]
     assert sizes == [24, 18, 77]
-    assert schemas.flatten_header(["화물", "nan", "영업용", "영업용"]) == "화물_영업용"
+    assert schemas.header_name(["화물", "nan", "영업용", "영업용"]) == "화물_영업용"
+    assert schemas.header_name([None, " 계 ", "", "계", "화물", "계"]) == "계_화물_계"
+    assert schemas.header_name(["", None]) == ""
+    # keyword order, then name length, then place
+    assert schemas.ranked_column(["a_n", "n", "m"], ["m", "n"]) == "m"
+    assert schemas.ranked_column(["a_n", "b_n"], ["z", "n"]) == "a_n"
+    assert schemas.ranked_column(["x_y_z", "y_x"], [("x", "y")]) == "y_x"
     with pytest.raises(KeyError):
-        schemas.pick_column(["x"], ["시도명"])
+        schemas.ranked_column(["x"], ["시도명"])

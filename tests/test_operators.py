@@ -69,7 +69,7 @@ def test_single_child_equals_count_and_join(spark, seed):
     out = joins.with_single_child(parents, children, "k", "pk")
     assert rows(out) == rows(reference_single_child(spark, parents, children))
     keyed = children.filter("pk is not null")
-    out = joins.with_single_child(parents, keyed, "k", "pk", keyless_children=False)
+    out = joins.with_single_child(parents, keyed, "k", "pk")
     assert rows(out) == rows(reference_single_child(spark, parents, keyed))
 
 
@@ -80,7 +80,7 @@ def test_single_child_with_a_hot_parent(spark):
         F.col("id").cast("string").alias("pk"),
         F.lit(0).alias("size"),
     )
-    out = joins.with_single_child(parents, children, "k", "pk", keyless_children=False)
+    out = joins.with_single_child(parents, children, "k", "pk")
     assert "partial_count" in plan_of(out)
     assert out.count() == 999 and out.filter("k = 7").isEmpty()
 

@@ -164,3 +164,34 @@ def test_conform(spark):
     a = out.filter("name = 'a'").first()
     assert (a.total, a.parking, a.suitability, a.year, a.contract_status) == (None, 3, None, 2024, "후보")
     assert [r.name for r in schemas.require_text(out, ["name"]).collect()] == ["a"]
+
+
+def test_empty_rerun_keeps_the_snapshot(spark, tmp_path):
+    base, stamp = str(tmp_path / "kept"), {"year": 2024, "month": 5}
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, region string")
+    snap.write_snapshot(rows, base, {"year": 2024, "month": 4})
+    snap.write_snapshot(rows, base, stamp)
+    with pytest.raises(ValueError):
+        snap.write_snapshot(rows.filter("false"), base, stamp)
+    assert snap.read_latest(spark, base, ["year", "month"]).filter("month = 5").count() == 2
+    snap.write_snapshot(rows.filter("id = 1"), base, stamp)
+    assert snap.read_latest(spark, base, ["year", "month"]).count() == 1
+    assert not [p for p in (tmp_path / "kept" / "year=2024").iterdir() if p.name.startswith("_")]
+
+
+def test_newest_snapshot_up_to_a_day(spark, tmp_path):
+    base = str(tmp_path / "dated")
+    for year, month, week in [(2023, 12, 4), (2024, 5, 1), (2024, 6, 0), (2025, 1, 0)]:
+        rows = spark.createDataFrame([(year * 100 + month, "a")], "id int, region string")
+        snap.write_snapshot(rows, base, {"year": year, "month": month, "week": week})
+    read = lambda *upto: snap.read_latest(
+        spark, base, snap.LEVELS, dict(zip(snap.LEVELS, upto)) if upto else None
+    )
+    assert read().first()["id"] == 202501
+    assert read(2024, 5, 4).first()["id"] == 202405
+    # no week of May is early enough, so the walk goes back a year
+    assert read(2024, 5, 0).first()["id"] == 202312
+    newest = read(2024, 6, 3)
+    assert newest.first()["id"] == 202406 and len(newest.inputFiles()) == 1
+    with pytest.raises(ValueError):
+        read(2023, 1, 0)
