@@ -76,7 +76,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE) -
     _, y, bounds, cells, values = features.collected(chosen, sample)
     machine = Machine()
     share = y.mean() if len(y) else 0.5
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         return machine.fit(y, bounds, cells, values)
     machine.factors[:] = 0
     machine.bias = np.float32({0.0: -30, 1.0: 30}.get(float(share), 0))
