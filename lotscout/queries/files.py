@@ -47,6 +47,26 @@ def ingest_charset(t: Tables) -> DataFrame:
     return text_files.read_delimited(t.spark, [f"{path}/korean", f"{path}/utf8"], _COORD_COLUMNS)
 
 
+_AS_IS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_FIRST, _SECOND = _COORD_COLUMNS[:2]
+_JOINED = f"coalesce({_FIRST}, '') || ', ' || coalesce({_SECOND}, '')"
+_OTHERS = ", ".join(f"coalesce({c}, '') AS {c}" for c in _COORD_COLUMNS[1:])
+
+
+@query(f"SELECT {_JOINED} AS {_FIRST}, {_OTHERS} FROM bronze_coord")
+def ingest_header(t: Tables) -> DataFrame:
+    """Files with a header: columns in two orders, in two charsets, with commas inside quotes."""
+    path = new_path(t.spark, "coord-csv")
+    korean = F.col("region").isin("경기", "서울")
+    rows = t.bronze_coord.withColumn(_FIRST, F.expr(_JOINED))
+    with text_files.java_charsets(t.spark):
+        first = rows.filter(korean).select(*reversed(_COORD_COLUMNS))
+        first.write.csv(f"{path}/korean", encoding=KOREAN_CHARSET, **_AS_IS)
+    rows.filter(~korean).select(*_COORD_COLUMNS).write.csv(f"{path}/utf8", **_AS_IS)
+    paths = [f"{path}/korean", f"{path}/utf8"]
+    return text_files.read_delimited(t.spark, paths, _COORD_COLUMNS, sep=",", header=True)
+
+
 @query("SELECT name, rep, address, biz_type, region FROM bronze_restaurant WHERE region = '경기'")
 def scan_region_pruned(t: Tables) -> DataFrame:
     base = new_path(t.spark, "restaurant")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -27,33 +28,45 @@ def java_charsets(spark: SparkSession):
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_path, file_name, line) of text files in UTF-8 or the Korean charset.
+    """(file_path, file_name, line, header) of text files in UTF-8 or the Korean charset.
 
     The choice is made per file: UTF-8 if every line of it is valid UTF-8. Files stay splittable,
     because a line break byte never occurs inside a character of either charset. The choices are
     written, one row per file, so that they can be broadcast and the text is not shuffled. Blank
-    lines and a leading byte order mark are dropped.
+    lines and a leading byte order mark are dropped. `header` is the first line of the file.
     """
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
         "value",
     )
-    charset = raw.groupBy("file_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    charset = stage_table(charset, "charsets")
-    with java_charsets(spark):
-        decoded = F.decode(F.col("value").cast("binary"), KOREAN_CHARSET)
-        text = F.when(F.col("utf8"), F.col("value")).otherwise(decoded)
-        lines = raw.join(charset, "file_path").select("file_path", "file_name", text.alias("line"))
-    return lines.withColumn("line", F.regexp_replace("line", f"^{BOM}", "")).filter(
-        F.length("line") > 0
+    # within a block, lines come in their order
+    filled = F.length(F.regexp_replace("value", BOM, "")) > 0
+    first = F.when((F.col("block") == 0) & filled, F.col("place"))
+    files = raw.withColumn("place", F.monotonically_increasing_id()).groupBy("file_path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.min_by("value", first).alias("head")
     )
 
+    def text(column: str) -> Column:
+        decoded = F.decode(F.col(column).cast("binary"), KOREAN_CHARSET)
+        decoded = F.when(F.col("utf8"), F.col(column)).otherwise(decoded)
+        return F.regexp_replace(decoded, f"^{BOM}", "")
+
+    with java_charsets(spark):
+        files = stage_table(files.select("file_path", "utf8", text("head").alias("header")), "charsets")
+        lines = raw.join(files, "file_path").select(
+            "file_path", "file_name", text("value").alias("line"), "header"
+        )
+    return lines.filter(F.length("line") > 0)
 
-def string_fields(line: Column, columns: Sequence[str], sep: str = "|") -> Column:
+
+def string_fields(line: Column, columns: Sequence[str], sep: str = "|", trim: bool = False) -> Column:
     """Struct of string fields of a line; a line with another number of fields is an error."""
+    spaces = str(trim).lower()
+    strip = {"ignoreLeadingWhiteSpace": spaces, "ignoreTrailingWhiteSpace": spaces}
     schema = ", ".join(f"`{name}` string" for name in columns)
-    return F.from_csv(line, schema, {"sep": sep, "mode": "FAILFAST"})
+    return F.from_csv(line, schema, {"sep": sep, "mode": "FAILFAST", **strip})
 
 
 def read_delimited(
@@ -67,28 +80,41 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited files as all-string columns, plus a region taken from the file name.
 
-    With `header`, lines that repeat the column names are skipped.
+    With `header`, the first line of each file names its fields, in an order of its own; a file
+    with unknown, lacking or repeated names is an error. Lines that repeat the header are skipped.
+    A record is one line: a line break inside quotes is an error, as it leaves too few fields.
     """
     lines = read_lines(spark, paths)
     if header:
-        names = F.replace(F.col("line"), F.lit('"'), F.lit(""))
-        lines = lines.filter(names != sep.join(columns))
+        lines = lines.filter(F.col("line") != F.col("header"))
     # a projection of its own, so that each line is parsed once and not once per column
     row = string_fields(F.col("line"), columns, sep).alias("row")
     extra = [] if region is None else [region.alias("region")]
+    extra_names = ["region"] if extra else []
+    if header:
+        title = string_fields(F.col("header"), columns, sep, trim=True)
+        names = F.transform(F.array(*(title.getField(c) for c in columns)), F.trim).alias("names")
+        lines = lines.select(row, names, *extra)
+        values = F.array(*(F.col("row").getField(c) for c in columns))
+        wrong = F.raise_error(F.concat(F.lit("unexpected header: "), F.array_join("names", sep, "")))
+        same = F.array_sort("names") == F.array_sort(F.array(*map(F.lit, columns)))
+        by_name = F.when(same, F.map_from_arrays("names", values)).otherwise(wrong.cast("map<string,string>"))
+        lines = lines.select(by_name.alias("row"), *extra_names)
+    else:
+        lines = lines.select(row, *extra)
     fields = [F.col("row").getField(name) for name in columns]
     if not blank_as_null:
         fields = [F.coalesce(field, F.lit("")) for field in fields]
     named = [field.alias(name) for field, name in zip(fields, columns)]
-    return lines.select(row, *extra).select(*named, *[c for c in ("region",) if extra])
+    return lines.select(*named, *extra_names)
 
 
 def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> list[str]:
-    """Column names in the first line of a file with a header. One line reaches the driver."""
+    """Column names in the first line of one of the files. One line reaches the driver."""
     line = spark.read.text(paths).select(F.col("value").cast("binary").alias("value")).first()
     raw = bytes(line["value"])
     try:
         text = raw.decode("utf-8-sig")
     except UnicodeDecodeError:
         text = raw.decode("cp949")
-    return [name.strip().strip('"') for name in text.split(sep)]
+    return [name.strip() for name in next(csv.reader([text], delimiter=sep, skipinitialspace=True))]

@@ -195,3 +195,20 @@ def test_newest_snapshot_up_to_a_day(spark, tmp_path):
     assert newest.first()["id"] == 202406 and len(newest.inputFiles()) == 1
     with pytest.raises(ValueError):
         read(2023, 1, 0)
+
+
+def test_header_of_each_file(spark, tmp_path):
+    folder = tmp_path / "h"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\ufeff\nid, \"lot, main\" \n1,\"x, y\"\n2,\n", encoding="utf-8")
+    (folder / "b.csv").write_bytes("\"lot, main\",id\n가,3\n".encode("cp949"))
+    assert text_files.header_columns(spark, str(folder / "b.csv")) == ["lot, main", "id"]
+    read = text_files.read_delimited(spark, str(folder), ["id", "lot, main"], sep=",", header=True)
+    assert sorted(map(tuple, read.collect())) == [("1", "x, y"), ("2", ""), ("3", "가")]
+    for name, text in (("c", "id,other\n4,z\n"), ("d", "id,id\n4,z\n"), ("e", "id\n4\n"),
+                       ("f", 'id,"lot, main"\n4,"z\nz"\n')):
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+        with pytest.raises(Exception):
+            text_files.read_delimited(
+                spark, str(tmp_path / f"{name}.csv"), ["id", "lot, main"], sep=",", header=True
+            ).collect()
