@@ -66,6 +66,19 @@ def test_neighbours_equal_all_cosines():
         assert np.allclose(every[place], cosine)
 
 
+def test_every_marking_term_counts():
+    marks = np.arange(1, 701, dtype=np.uint64)
+    terms = [marks] * 6 + [np.array([1000 + i], np.uint64) for i in range(40)]
+    labels = np.array([1] * 6 + [0] * 40)
+    vocabulary = toxicity.marking_terms(labels, terms)
+    assert np.array_equal(vocabulary, marks)
+    counts = [np.ones(len(t), np.int64) for t in terms]
+    index = toxicity.Index(vocabulary, np.ones(700), list(range(46)), labels, terms, counts)
+    for term in (0, 699):
+        place, cosine = index.nearest(np.array([term]), np.ones(1))
+        assert index.ids[place].tolist() == list(range(6)) and np.allclose(cosine, 700**-0.5)
+
+
 def test_mixture_meets_its_targets(spark):
     out = RUNS["op2_source_mixing"](spark, BIG)
     sums = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) / F.sum("n_tokens") for d in mixing.DOMAINS]
