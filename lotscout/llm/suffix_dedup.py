@@ -6,9 +6,15 @@ begin. Consecutive windows with the same smallest place form a segment. Segments
 string occurs nowhere else cannot repeat and stay at home; the others are sent as text, each
 distinct one once per pack.
 
+Where more than HOT segments share a smallest string, as at the edges of a passage that many
+documents have, windows are dealt again: by what all windows have in common that hold the string
+within a range of offsets. Ranges that are still hot are parted further, down to single windows,
+and ranges that occur once stay at home. Equal windows have equal offsets, so they still meet.
+
 A shard compares equal segments byte by byte and sorts the suffixes of the distinct ones that share
 a smallest string by external induced sorting (`induced`): queues with a scratch file behind them
-carry suffixes and common prefixes, so a run of text may be larger than the memory given to it.
+carry suffixes and common prefixes. The text and the seeds of a run are held in memory; a run is
+bounded by RUN_BYTES and HOT segments.
 Neighbours in suffix order that agree in `length` bytes are repeats.
 
 Defined results: a null text is empty; texts shorter than `length` bytes lose nothing; windows never
@@ -33,6 +39,9 @@ U64 = np.uint64
 STEP = 1 << 22  # windows looked at together
 RUN_BYTES = 1 << 20  # of segments that are sorted together
 PLACE_BITS = U64(24)
+HOT = 4096  # segments of one smallest string, or range of offsets, that are not parted further
+RANGES = (64, 16, 4, 1)  # offsets
+KINDS = 2048  # segments that are parted together
 
 
 def _sliding_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -48,13 +57,13 @@ def _sliding_least(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def segments(body: np.ndarray, bounds: np.ndarray, length: int, gram: int):
-    """First window, number of windows and hash of the smallest string of each segment."""
+    """First window, number of windows, hash and place of the smallest string of each segment."""
     grams = rolling.Prefix(body).windows(gram)
     reach = length - gram + 1
     n = len(body) - length + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, U64)
+        return none, none, np.zeros(0, U64), none
     ends = np.repeat(bounds[1:] - 1, np.diff(bounds))
     least = np.empty(n, np.int64)
     for at in range(0, n, STEP):
@@ -69,20 +78,69 @@ def segments(body: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     breaks = np.flatnonzero(new | ~inside)
     after = np.append(breaks, n)[np.searchsorted(breaks, first) + 1]
     # the smallest hashes are all small; mixed again they spread over the shards
-    return first, after - first, rolling.mix(grams[least[first]])
+    return first, after - first, rolling.mix(grams[least[first]]), least[first]
+
+
+def _common(limit: int):
+    def reply(group: pd.DataFrame) -> pd.DataFrame:
+        """For each pack, its keys that occur twice, and whether more than `limit` have them."""
+        blobs = [P.blob_keys(b, True) for b in group["blob"]]
+        keys = np.concatenate([k for k, _ in blobs])
+        flags = np.concatenate([f for _, f in blobs])
+        order = np.argsort(keys, kind="stable")
+        keys, flags = keys[order], flags[order]
+        first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        times = np.add.reduceat(np.int64(1) << flags.astype(np.int64), first)
+        chosen, hot = keys[first][times > 1], (times > limit)[times > 1]
+        out = []
+        for (own, _), pack in zip(blobs, group["pack"]):
+            at = np.searchsorted(chosen, own)
+            found = np.flatnonzero(P.among(own, chosen))
+            if len(found):
+                out.append((int(group["shard"].iloc[0]), int(pack), P.key_blob(own[found], hot[at[found]])))
+        return pd.DataFrame(out, columns=["shard", "pack", "blob"])
+
+    return reply
+
+
+def _counted(marks: np.ndarray, times: np.ndarray, pack: int) -> Iterator[tuple[int, int, bytes]]:
+    """Questions for `_common`; flags hold the logarithm of how often the pack has a key."""
+    marks, which = np.unique(marks, return_inverse=True)
+    times = np.bincount(which, times, len(marks))
+    return P.key_questions(marks, np.ceil(np.log2(np.maximum(times, 1))).astype(np.uint8), pack)
+
+
+def _told(told: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted combined numbers of the answers of `_common`, and whether they are hot."""
+    marks, hot = [np.zeros(0, U64)], [np.zeros(0, bool)]
+    for t in told or []:
+        keys, flags = P.blob_keys(t["blob"], True)
+        marks.append((U64(t["shard"]) << U64(32)) | keys.astype(U64))
+        hot.append(flags > 0)
+    marks, hot = np.concatenate(marks), np.concatenate(hot)
+    order = np.argsort(marks)
+    return marks[order], hot[order]
+
+
+def _flagged(values: np.ndarray, marks: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Whether the values are among the marks that have a flag."""
+    return P.among(values, marks[flags])
+
+
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, .. up to each size."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class _Pack:
     def __init__(self, row: dict, length: int, gram: int):
-        self.pack, self.length = row["pack"], length
+        self.pack, self.length, self.reach = row["pack"], length, length - gram
         self.ids = row["doc_ids"]
         self.body, self.bounds = P.opened(row)
-        self.first, self.count, self.hashes = segments(self.body, self.bounds, length, gram)
+        self.first, self.count, self.hashes, self.place = segments(self.body, self.bounds, length, gram)
 
-    def shared(self, told: list[dict] | None, shards: int) -> None:
-        """Keep the segments whose smallest string occurs again; tell distinct ones apart."""
-        mine = P.among(P.combined(self.hashes, shards), P.told_marks(told))
-        self.first, self.count, self.hashes = self.first[mine], self.count[mine], self.hashes[mine]
+    def _kinds(self) -> None:
+        """Tell distinct segments apart: the kind of each, one of each kind by hash, their number."""
         ends = self.first + self.count + self.length - 1
         h1, h2 = (rolling.Prefix(self.body, k).spans(self.first, ends) for k in (0, 1))
         order = np.lexsort((self.first, h2, h1, self.hashes))
@@ -94,9 +152,75 @@ class _Pack:
         new[:1] = True
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
-        self.chosen = order[new]  # one segment of each kind, by hash
+        self.chosen = order[new]
         self.times = np.bincount(self.which, minlength=len(self.chosen))
 
+    def _keep(self, mine: np.ndarray) -> None:
+        self.first, self.count, self.hashes, self.place = (
+            x[mine] for x in (self.first, self.count, self.hashes, self.place)
+        )
+
+    def _ranges(self, hashes: rolling.Prefix, of: np.ndarray, low: np.ndarray, high: np.ndarray, size: int):
+        """Parts of segments `of`, of offsets low to high, by ranges of `size`: of, low, high, key."""
+        parts = high // size - low // size + 1
+        of, low, high = (np.repeat(x, parts) for x in (of, low, high))
+        number = low // size + _steps(parts)
+        begin, end = number * size, np.minimum(number * size + size - 1, self.reach)
+        place = self.place[of]
+        core = hashes.spans(place - begin, place - end + self.length)
+        key = rolling.mix(core ^ rolling.mix(((number << 10) + size).astype(U64)))
+        return of, np.maximum(begin, low), np.minimum(end, high), key
+
+    def census(self, shards: int) -> Iterator[tuple[int, int, bytes]]:
+        return _counted(P.combined(self.hashes, shards), np.ones(len(self.hashes)), self.pack)
+
+    def hot_census(self, told: list[dict] | None, shards: int) -> Iterator[tuple[int, int, bytes]]:
+        """Questions about the ranges of all hot segments."""
+        self._keep(_flagged(P.combined(self.hashes, shards), *_told(told)))
+        self._kinds()
+        hashes = rolling.Prefix(self.body)
+        marks, times = [np.zeros(0, U64)], [np.zeros(0)]
+        for k in range(0, len(self.chosen), KINDS):
+            of = self.chosen[k : k + KINDS]
+            high = self.place[of] - self.first[of]
+            own = self.times[k : k + KINDS]
+            kind = np.zeros(len(self.first), np.int64)
+            kind[of] = np.arange(len(of))
+            for size in RANGES:
+                part, _, _, key = self._ranges(hashes, of, high - self.count[of] + 1, high, size)
+                mark, which = np.unique(P.combined(key, shards), return_inverse=True)
+                marks.append(mark)
+                times.append(np.bincount(which, own[kind[part]], len(mark)))
+        return _counted(np.concatenate(marks), np.concatenate(times), self.pack)
+
+    def shared(self, told: list[dict] | None, ranges: list[dict] | None, shards: int) -> None:
+        """Keep the segments whose smallest string occurs again, part hot ones; tell distinct ones apart."""
+        marks, hot = _told(told)
+        self._keep(P.among(P.combined(self.hashes, shards), marks))
+        heated = _flagged(P.combined(self.hashes, shards), marks, hot)
+        if heated.any():
+            self._part(heated, *_told(ranges), shards)
+        self._kinds()
+
+    def _part(self, heated: np.ndarray, marks: np.ndarray, hot: np.ndarray, shards: int) -> None:
+        """Replace hot segments by their ranges of offsets that occur again."""
+        hashes = rolling.Prefix(self.body)
+        found = [(self.first[~heated], self.count[~heated], self.hashes[~heated], self.place[~heated])]
+        every = np.flatnonzero(heated)
+        for k in range(0, len(every), KINDS):
+            of = every[k : k + KINDS]
+            high = self.place[of] - self.first[of]
+            low = high - self.count[of] + 1
+            for size in RANGES:
+                of, low, high, key = self._ranges(hashes, of, low, high, size)
+                mark = P.combined(key, shards)
+                on = _flagged(mark, marks, hot) if size > 1 else np.zeros(len(mark), bool)
+                sent = P.among(mark, marks) & ~on
+                place = self.place[of[sent]]
+                found.append((place - high[sent], (high - low + 1)[sent], key[sent], place))
+                of, low, high = of[on], low[on], high[on]
+        self.first, self.count, self.hashes, self.place = map(np.concatenate, zip(*found))
+
 
 def _shard_slices(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
     shard = P.shards_of(hashes, shards)
@@ -214,17 +338,20 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 32, wi
     shards = P.shard_count(packed)
 
     def census(row: dict):
-        pack = _Pack(row, length, gram)
-        marks = np.sort(P.combined(pack.hashes, shards))
-        flags = np.full(len(marks), 2, np.uint8)
-        flags[1:][np.diff(marks) == 0] |= 1
-        yield from P.key_questions(marks, flags, pack.pack)
+        yield from _Pack(row, length, gram).census(shards)
+
+    shared = P.answer(P.ask(packed, census), _common(HOT), "shared")
+
+    def hot_census(row: dict):
+        if _told(row["shared"])[1].any():
+            yield from _Pack(row, length, gram).hot_census(row["shared"], shards)
 
-    shared = P.answer(P.ask(packed, census), P.common_keys, "shared")
+    ranges = P.answer(P.ask(packed.join(shared, "pack"), hot_census), _common(HOT), "ranges")
+    shared = shared.join(ranges, "pack", "left")
 
     def send(row: dict):
         pack = _Pack(row, length, gram)
-        pack.shared(row["shared"], shards)
+        pack.shared(row["shared"], row["ranges"], shards)
         for shard, a, b in _shard_slices(pack.hashes[pack.chosen], shards):
             yield shard, pack.pack, _segment_blob(pack, pack.chosen[a:b])
 
@@ -243,7 +370,7 @@ def _kept(row: dict, length: int, gram: int, shards: int, with_bytes: bool) -> p
     pack = _Pack(row, length, gram)
     gone = np.zeros(len(pack.body), bool)
     if row["repeats"]:
-        pack.shared(row["shared"], shards)
+        pack.shared(row["shared"], row["ranges"], shards)
         counts = pack.count[pack.chosen]
         offset = np.concatenate([[0], np.cumsum(counts)])
         flags = np.zeros(offset[-1], bool)

@@ -6,12 +6,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from lotscout.llm import (
-    components, decontaminate, induced, line_dedup, packs, pii, quality_rules, simhash,
+    components, decontaminate, induced, line_dedup, packs, pii, quality_rules, rolling, simhash,
     substring_dedup, suffix_dedup,
 )
 
@@ -53,6 +54,58 @@ def test_bytes_that_repeat(docs, monkeypatch):
     same(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect(), expected)
 
 
+def hot_texts():
+    """A passage in many different contexts, some of them shared in part."""
+    r = random.Random(8)
+    letters = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, sides = letters(90), [letters(60) for _ in range(6)]
+    texts = [letters(70) + passage + letters(70) for _ in range(60)]
+    for _ in range(60):
+        near = r.choice(sides)[-r.randrange(1, 60) :] + passage + r.choice(sides)[: r.randrange(1, 60)]
+        texts.append(letters(30) + near + letters(30))
+    return texts + texts[:5] + [letters(40), ""]
+
+
+def in_parts(rows, length, gram, hot):
+    """The shards' groups of a run over packs without Spark: distinct texts by shard and hash."""
+    found = {}
+
+    def asked(questions, reply):
+        told = {}
+        for shard in {q[0] for q in questions}:
+            group = pd.DataFrame([q for q in questions if q[0] == shard], columns=["shard", "pack", "blob"])
+            for row in reply(group).itertuples():
+                told.setdefault(row.pack, []).append({"shard": row.shard, "blob": row.blob})
+        return told
+
+    opened = lambda row: suffix_dedup._Pack(row, length, gram)
+    shared = asked([q for row in rows for q in opened(row).census(4)], suffix_dedup._common(hot))
+    ranges = asked(
+        [q for row in rows for q in opened(row).hot_census(shared.get(row["pack"]), 4)], suffix_dedup._common(hot)
+    )
+    for row in rows:
+        pack = opened(row)
+        pack.shared(shared.get(row["pack"]), ranges.get(row["pack"]), 4)
+        for c in pack.chosen:
+            text = pack.body[pack.first[c] : pack.first[c] + pack.count[c] + length - 1].tobytes()
+            found.setdefault(pack.hashes[c], set()).add(text)
+    return found
+
+
+def test_hot_strings_are_dealt_again(spark, monkeypatch):
+    small_packs(monkeypatch)
+    monkeypatch.setattr(suffix_dedup, "HOT", 6)
+    texts = hot_texts()
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    test_bytes_that_repeat(rows, monkeypatch)
+    made = []
+    for k in range(0, len(texts), 10):
+        body, bounds = rolling.join([t.encode() for t in texts[k : k + 10]])
+        made.append({"pack": k, "doc_ids": [], "bounds": bounds.tobytes(), "body": packs.squeeze(body.tobytes())})
+    whole, parted = (in_parts(made, 50, 8, hot) for hot in (1 << 30, 6))
+    assert max(map(len, whole.values())) > 50 and max(map(len, parted.values())) <= 6
+
+
 def test_words_that_an_earlier_document_has(docs, monkeypatch):
     small_packs(monkeypatch)
     rows = [(r.doc_id, WORD.findall(r.text or "")) for r in docs.collect()]
