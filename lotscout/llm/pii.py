@@ -33,7 +33,8 @@ ADDRESS_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISED, REMOVED = "generalised", "removed"
-TERM = r"\p{L}{4,}+"
+LETTER = r"[\p{L}\p{M}\p{Nd}]"
+TERM = LETTER + "++"  # words of any length
 BUCKETS = 1 << 20  # of term hashes; bounds what is broadcast at about a million integers
 KEY = ["id_null", "id", "digest"]
 SPAN = "struct<kind:string,first:long,last:long>"
@@ -95,10 +96,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _near(text: Column, match: Column, reach: int) -> Column:
-    """Text before and after a match, without the match."""
-    before = F.substring(text, F.greatest(match["first"] - reach + 1, F.lit(1)).cast("int"),
-                         F.least(match["first"], F.lit(reach)).cast("int"))
-    after = F.substring(text, (match["last"] + 1).cast("int"), F.lit(reach))
+    """Text before and after a match, without the match and without words that the reach cuts."""
+    # one character more on either side tells whether a word goes on there
+    size = F.least(match["first"], F.lit(reach + 1)).cast("int")
+    before = F.substring(text, (match["first"] - size + 1).cast("int"), size)
+    after = F.substring(text, (match["last"] + 1).cast("int"), F.lit(reach + 1))
+    before = F.when(size > reach, F.regexp_replace(before, f"(?s)^(?:{LETTER}+|.)", "")).otherwise(before)
+    after = F.when(F.length(after) > reach, F.regexp_replace(after, f"(?s)(?:{LETTER}+|.)$", "")).otherwise(after)
     return F.concat_ws("\n", before, after)
 
 
@@ -187,7 +191,7 @@ def _term_spans(text: Column, terms: Column) -> Column:
     parts = []
     for kind in (GENERALISED, REMOVED):
         mine = F.transform(F.filter(terms, lambda t: t["kind"] == kind), lambda t: t["term"])
-        pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(mine, "|"), F.lit(r")(?!\p{L})"))
+        pattern = F.concat(F.lit(f"(?<!{LETTER})(?:"), F.array_join(mine, "|"), F.lit(f")(?!{LETTER})"))
         spans = F.transform(
             places(text, pattern),
             lambda m: F.struct(F.lit(kind).alias("kind"), m["first"].alias("first"), m["last"].alias("last")),

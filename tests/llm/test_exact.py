@@ -323,6 +323,19 @@ def test_personal_data(spark):
     assert text[5] == "" and text[300] == "kontakt person mail now common"
 
 
+def test_short_terms_and_terms_with_digits(spark):
+    rows = [(i, f"kontakt Bo 김민 konto7 person mail zed@corp.org now other{i}") for i in range(4)]
+    rows += [(200, "only Bo here"), (201, "only 김민 here"), (202, "only konto7 here"), (203, "konto77 Bob")]
+    rows += [(300 + i, "kontakt person mail now common") for i in range(40)]
+    # the reach of 48 cuts a word to "ab", which is then no term
+    rows += [(400 + i, f"xxab {'- ' * 22} z@corp.org") for i in range(4)] + [(500, "ab"), (501, "ab")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(df, min_bits=2.0).collect()}
+    for doc_id, end in ((200, 7), (201, 7), (202, 11)):
+        assert [(s.kind, s.first, s.last) for s in got[doc_id]] == [("generalised", 5, end)]
+    assert not got[203] and not got[300] and not got[500]
+
+
 def test_empty_tables(spark, no_docs, docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     for out in (
