@@ -151,3 +151,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotscout.llm.suffix_dedup import remove_repeated_bytes
 
     return remove_repeated_bytes(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
