@@ -158,3 +158,13 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotscout.llm.spelling import variants
 
     return variants(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.tokenizer_links import align
+
+    found = align(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
