@@ -47,7 +47,7 @@ def unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(flat.T).reshape(-1).view(kind)
 
 
-def pack_documents(docs: DataFrame, name: str) -> DataFrame:
+def pack_documents(docs: DataFrame, name: str, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """Packs of (doc_id, text), written once. Null texts are empty; null ids stay null."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -72,7 +72,7 @@ def pack_documents(docs: DataFrame, name: str) -> DataFrame:
                 ids.append(doc_id)
                 texts.append(text or b"")
                 size += len(texts[-1])
-                if size >= PACK_BYTES:
+                if size >= pack_bytes:
                     yield emit()
         if ids:
             yield emit()

@@ -168,3 +168,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+@query()
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotscout.llm.context_mixing import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
