@@ -41,7 +41,7 @@ class Windows:
         self.size = size
         body = rolling.lowered(body)
         starts, ends, firsts = rolling.words(body, bounds, tokens=True)
-        terms = rolling.Prefix(body).spans(starts, ends)
+        terms = rolling.word_hashes(body, starts, ends)
         spans = []
         for i in range(len(rows)):
             a, b = int(firsts[i]), int(firsts[i + 1])
@@ -52,7 +52,9 @@ class Windows:
         self.length = place[first, 1]
         at = place[first, 0][:, None] + np.arange(size)
         inside = np.arange(size) < self.length[:, None]
-        self.vocabulary = np.unique(terms)
+        self.vocabulary, word = np.unique(terms, return_index=True)
+        # the words themselves, as equal hashes are not yet equal words
+        self.letters, self.word_starts, self.word_ends = body, starts[word], ends[word]
         number = np.searchsorted(self.vocabulary, terms)
         self.terms = np.where(inside, number[np.minimum(at, max(len(terms) - 1, 0))] if len(terms) else 0, -1)
         self.names = [None if row[0] is None else str(row[0]) for row in rows]
@@ -64,16 +66,23 @@ class Windows:
 class Segment:
     """Positional postings of the terms of the test vocabulary in a few documents."""
 
-    def __init__(self, texts: list[bytes], vocabulary: np.ndarray):
+    def __init__(self, texts: list[bytes], windows: Windows):
+        vocabulary = windows.vocabulary
         body, bounds = rolling.join(texts)
         body = rolling.lowered(body)
         starts, ends, self.firsts = rolling.words(body, bounds, tokens=True)
         self.n = len(starts)
         self.owner = rolling.owners(self.firsts)
-        terms = rolling.Prefix(body).spans(starts, ends)
+        terms = rolling.word_hashes(body, starts, ends)
         number = np.searchsorted(vocabulary, terms)
         number[number == len(vocabulary)] = 0
         known = np.flatnonzero(vocabulary[number] == terms) if len(vocabulary) else starts[:0]
+        word = number[known]
+        known = known[
+            rolling.same_words(
+                body, starts[known], ends[known], windows.letters, windows.word_starts[word], windows.word_ends[word]
+            )
+        ]
         # postings: positions sorted by term, then place
         order = np.argsort(number[known], kind="stable")
         self.positions = known[order]
@@ -155,7 +164,7 @@ def _pass_over(docs: DataFrame, windows, reach: int) -> DataFrame:
             others = [batch.column(i) for i in range(batch.num_columns) if i != text_at]
             for a, b in rolling.slices(texts, SEGMENT_BYTES):
                 part = [t or b"" for t in texts.slice(a, b - a).to_pylist()]
-                found = _of_documents(Segment(part, block.vocabulary), block, reach)
+                found = _of_documents(Segment(part, block), block, reach)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(a, b - a) for c in others), *found],
                     names=[*(f.name for f in kept), *(f.name for f in _FOUND)],
@@ -219,7 +228,10 @@ def find_benchmark(
     if blocks == 1:
         return _pass_over(docs, block_of(0), reach)
     # several passes: rows are told apart by a number that is written with them
-    numbered = stage_table(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    kept = F.struct(F.lit(0).alias("_none"), *(c for c in docs.columns if c != "text"))
+    numbered = stage_table(
+        docs.select(kept.alias("kept"), "text", F.monotonically_increasing_id().alias("_row")), "numbered"
+    )
     passes = [
         stage_table(_pass_over(numbered.select("_row", "text"), block_of(k), reach), "benchmark-pass")
         for k in range(blocks)
@@ -240,8 +252,8 @@ def find_benchmark(
             "n_near": F.size("near_ids").cast("long"),
         }
     )
-    return numbered.drop("text").join(merged, "_row").drop("_row").select(
-        *[c for c in docs.columns if c != "text"], *(f.name for f in _FOUND)
+    return numbered.drop("text").join(merged, "_row").select(
+        *[F.col("kept")[c].alias(c) for c in docs.columns if c != "text"], *(f.name for f in _FOUND)
     )
 
 

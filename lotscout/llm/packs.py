@@ -47,9 +47,10 @@ def unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(flat.T).reshape(-1).view(kind)
 
 
-def pack_documents(docs: DataFrame, name: str, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def pack_documents(docs: DataFrame, name: str, pack_bytes: int | None = None) -> DataFrame:
     """Packs of (doc_id, text), written once. Null texts are empty; null ids stay null."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    pack_bytes = pack_bytes or PACK_BYTES
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33

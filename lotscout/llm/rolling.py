@@ -9,9 +9,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have inverses mod 2**64
+LONG_WORD = 48  # bytes
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -99,6 +101,33 @@ def words(body: np.ndarray, bounds: np.ndarray, tokens: bool = False):
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word. Long words, whose letters can be arranged so that polynomials modulo a
+    power of two agree, get another hash."""
+    out = Prefix(body).spans(starts, ends)
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    if len(long):
+        data = body.tobytes()
+        spans = zip(starts[long].tolist(), ends[long].tolist())
+        out[long] = np.fromiter((xxhash.xxh64_intdigest(data[a:b]) for a, b in spans), U64, len(long))
+    return out
+
+
+def same_words(a: np.ndarray, a_starts, a_ends, b: np.ndarray, b_starts, b_ends) -> np.ndarray:
+    """Whether words of one body equal words of another, byte by byte."""
+    size = a_ends - a_starts
+    same = size == b_ends - b_starts
+    at = np.flatnonzero(same & (size > 0))
+    size = size[at]
+    if not len(at):
+        return same
+    first = np.cumsum(size) - size
+    step = np.arange(size.sum()) - np.repeat(first, size)
+    equal = a[step + np.repeat(a_starts[at], size)] == b[step + np.repeat(b_starts[at], size)]
+    same[at] = np.logical_and.reduceat(equal, first)
+    return same
+
+
 def lowered(body: np.ndarray) -> np.ndarray:
     return np.frombuffer(body.tobytes().translate(LOWER), np.uint8)
 

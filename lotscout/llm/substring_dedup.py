@@ -3,9 +3,9 @@
 Every document is cut into non-overlapping reference blocks of `block` words, which are indexed;
 every rolling window of `block` words of every document probes the index. A window of `window`
 words holds at least one whole reference block of the document it is compared with, as long as
-`window >= 2 * block - 1`, so a repeated window never lacks an anchor. Hits are then extended: all
-windows around a hit are told apart by 96 bits of two independent hashes, and adjoining repeated
-windows make up the maximal repeat.
+`window >= 2 * block - 1`, so a repeated window never lacks an anchor; blocks that share a hash by
+chance only make more candidates. Hits are then extended: all windows around a hit are told apart by
+a digest of 128 bits of their words, and adjoining repeated windows make up the maximal repeat.
 
 Nothing is sent per pair of documents. A pack of documents sends each distinct block or window
 once, so that the cost of a passage does not depend on how many documents share it.
@@ -25,6 +25,7 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from lotscout.llm import packs as P
@@ -61,15 +62,18 @@ class _Pack:
         whole = np.flatnonzero(rolling.whole_windows(self.firsts, self.window, self.n))
         return whole[upto[whole + self.window - self.block + 1] > upto[whole]]
 
-    def window_hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        second = rolling.Prefix(self.body, 1).spans(self.starts, self.ends)
-        size = at + self.window
-        return rolling.Prefix(self.word_hash).spans(at, size), rolling.Prefix(second, 1).spans(at, size)
+    def window_digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of a digest of the words of each window, joined by one space."""
+        text = b" ".join(self.body.tobytes().split())
+        ends = np.cumsum(self.ends - self.starts + 1) - 1
+        first, last = (ends - (self.ends - self.starts))[at], ends[at + self.window - 1]
+        digests = [xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(first.tolist(), last.tolist())]
+        halves = np.frombuffer(b"".join(digests), U64).reshape(-1, 2)
+        return halves[:, 0].copy(), halves[:, 1].copy()
 
     def smallest(self, at: np.ndarray):
-        """Distinct windows: both hashes, smallest doc_id, and for each place its window."""
-        h1, h2 = self.window_hashes(at)
-        h2 &= U64(0xFFFFFFFF)
+        """Distinct windows: both halves of the digest, smallest doc_id, and for each place its window."""
+        h1, h2 = self.window_digests(at)
         ids = np.array([LAST if i is None else i for i in self.ids], np.int64)
         own = ids[rolling.owners(self.firsts)[at]] if len(at) else np.zeros(0, np.int64)
         order = np.lexsort((own, h2, h1))
@@ -78,7 +82,7 @@ class _Pack:
         new[1:] = (np.diff(s1) != 0) | (np.diff(s2) != 0)
         which = np.empty(len(at), np.int64)
         which[order] = np.cumsum(new) - 1
-        return s1[new], s2[new].astype(np.uint32), so[new], own, which
+        return s1[new], s2[new], so[new], own, which
 
 
 def _shard_slices(h1: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
@@ -94,11 +98,11 @@ def _window_blob(h1: np.ndarray, h2: np.ndarray, smallest: np.ndarray) -> bytes:
 
 def _open_windows(blob: bytes):
     data = P.unsqueeze(blob)
-    n = len(data) // 20
+    n = len(data) // 24
     return (
         P.unplanes(data[: 8 * n], U64),
-        P.unplanes(data[8 * n : 12 * n], np.uint32),
-        P.unplanes(data[12 * n :], np.int64),
+        P.unplanes(data[8 * n : 16 * n], U64),
+        P.unplanes(data[16 * n :], np.int64),
     )
 
 

@@ -345,3 +345,35 @@ def test_empty_tables(spark, no_docs, docs):
     ):
         assert out.count() == 0
     assert decontaminate.find_benchmark(docs, bench).where("n_hit > 0 or n_items > 0").count() == 0
+
+
+def thue_morse(n, letters="ab"):
+    """A text and its complement on which polynomial hashes modulo a power of two agree."""
+    word = "".join(letters[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans(letters, letters[::-1]))
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Windows and benchmark words are told apart by their letters, not by a hash that can agree."""
+    one, other = thue_morse(1024)
+    same_hash = rolling.Prefix(np.frombuffer((one + other).encode(), np.uint8))
+    first, second = same_hash.spans(np.array([0, 1024]), np.array([1024, 2048]))
+    assert first == second
+    r = random.Random(9)
+    words = [r.choice("xyz") * r.randrange(1, 5) for _ in range(49)]
+    texts = [" ".join([*words, one]), " ".join([*words, other]), " ".join([*words, one])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeated_passages(rows).collect()}
+    assert found == {0: 0, 1: 0, 2: 50}
+    bench = spark.createDataFrame([("i", one)], "item_id string, text string")
+    hit = {r.doc_id: r.n_hit for r in decontaminate.find_benchmark(rows, bench).collect()}
+    assert hit == {0: 1, 1: 0, 2: 1}
+
+
+def test_benchmark_in_blocks_keeps_clashing_columns(spark):
+    rows = spark.createDataFrame(
+        [(1, "alpha beta gamma", 5, "k"), (2, None, 6, None)], "doc_id long, text string, _row int, kept string"
+    )
+    bench = spark.createDataFrame([(f"i{k}", f"alpha beta {w}") for k, w in enumerate(("gamma", "delta"))], "item_id string, text string")
+    found = decontaminate.find_benchmark(rows, bench, block_bytes=20).collect()
+    assert sorted((r.doc_id, r._row, r.kept, r.n_hit) for r in found) == [(1, 5, "k", 3), (2, 6, None, 0)]
