@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotscout.functions.score import grade, parking_grade, total_score
 from lotscout.operators.latest import latest_per_key
 from lotscout.sources.regions import REGION_ALIASES
+from lotscout.sources.manifest import Table
 from lotscout.sources.schemas import DEFAULT_STATUS, SITE_KEY
 from lotscout.sources.snapshot import LEVELS, latest_snapshot
 
@@ -26,14 +27,21 @@ def split_target(target: str) -> tuple[str, str]:
     return REGION_ALIASES.get(region, region), " ".join(district)
 
 
-def sites_of_district(sites: DataFrame, target: str) -> DataFrame:
-    """Sites of the region's newest snapshot whose district contains the target district."""
+def sites_of_district(sites: DataFrame | Table, target: str) -> DataFrame:
+    """Sites of the region's newest snapshot whose district contains the target district.
+
+    The manifest of a served table knows that snapshot, and only the region's part of it is read; a
+    table without one is scanned for it.
+    """
     region, district = split_target(target)
-    newest = latest_snapshot(sites, LEVELS, F.col("region") == region)
+    if isinstance(sites, Table):
+        newest = sites.read(sites.newest(LEVELS, {"region": region}))
+    else:
+        newest = latest_snapshot(sites, LEVELS, F.col("region") == region)
     return newest.filter(F.col("sigungu").contains(district))
 
 
-def top_sites(sites: DataFrame, target: str, n: int = 15) -> DataFrame:
+def top_sites(sites: DataFrame | Table, target: str, n: int = 15) -> DataFrame:
     """Best sites of a district. Sites without a total come last, ties go by name and address."""
     order = [
         F.desc_nulls_last("total"),
@@ -45,7 +53,7 @@ def top_sites(sites: DataFrame, target: str, n: int = 15) -> DataFrame:
     return ranked_top(sites_of_district(sites, target), n, order)
 
 
-def active_contracts(sites: DataFrame, target: str) -> DataFrame:
+def active_contracts(sites: DataFrame | Table, target: str) -> DataFrame:
     """Sites of a district that moved on from the first contract status."""
     return sites_of_district(sites, target).filter(F.col("contract_status") != DEFAULT_STATUS)
 
@@ -71,10 +79,14 @@ def top_districts(districts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def district_map(
-    districts: DataFrame, boundaries: DataFrame, code: str = "shp_code"
+    districts: DataFrame | Table, boundaries: DataFrame, code: str = "shp_code"
 ) -> DataFrame:
     """Newest district rows that have a code, joined to boundary attributes on the code as text."""
-    newest = latest_snapshot(districts, LEVELS[:2]).filter(F.col(code).isNotNull())
+    if isinstance(districts, Table):
+        newest = districts.read(districts.newest(LEVELS[:2]))
+    else:
+        newest = latest_snapshot(districts, LEVELS[:2])
+    newest = newest.filter(F.col(code).isNotNull())
     shapes = boundaries.withColumn(code, F.col(code).cast("string"))
     return newest.withColumn(code, F.col(code).cast("string")).join(shapes, code)
 
@@ -136,6 +148,24 @@ def pk_duplicates(df: DataFrame, key: Sequence[str] = tuple(SITE_KEY)) -> DataFr
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def first_of_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column], row_id: str) -> DataFrame:
+    """Per key without NULLs, the id of the row that comes first in order; the id settles ties.
+
+    Found with partial aggregation, so that the rows of a hot key neither meet in one task nor are
+    sorted there.
+    """
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(row_id).alias("id"))
+    return rows.dropna(subset=list(key)).groupBy(*key).agg(F.min(place)["id"].alias("first_id"))
+
+
+def judged_by_key(rows: DataFrame, firsts: DataFrame, key: Sequence[str], row_id: str) -> DataFrame:
+    """Rows with a reason: NULL for the first one of each key, "repeated key" for the others, "no key"
+    where a key column is NULL. `firsts` (of `first_of_key`) should be a written table."""
+    known = rows.join(firsts, list(key), "left")
+    reason = F.when(F.col("first_id").isNull(), "no key").when(F.col(row_id) != F.col("first_id"), "repeated key")
+    return known.select(*rows.columns, reason.alias("reason"))
+
+
 def completeness(counts: DataFrame, expected: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows found per expected snapshot; a missing snapshot has 0 rows and is not complete."""
     found = counts.groupBy(*keys).agg(F.count("*").alias("n"))

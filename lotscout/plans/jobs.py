@@ -1,7 +1,8 @@
 """The scheduled jobs over a lake folder: monthly, weekly, gold and load.
 
 Every job reads the newest snapshot of its inputs that is not after `as_of` and replaces the snapshot
-of `as_of` in its outputs, so that a rerun changes nothing, whatever snapshots came later. Between stages the data lives in written tables.
+of `as_of` in its outputs, so that a rerun changes nothing, whatever snapshots came later. Between
+stages the data lives in written tables, committed by manifest.
 """
 
 from __future__ import annotations
@@ -13,16 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotscout.functions.text import nfc_strip
-from lotscout.plans import clean, stages
+from lotscout.plans import clean, serving, stages
 from lotscout.session import tuned
 from lotscout.sources import schemas
-from lotscout.sources.snapshot import (
-    LEVELS,
-    read_latest,
-    replace_snapshots,
-    stage_table,
-    write_snapshot,
-)
+from lotscout.sources.manifest import Table
+from lotscout.sources.snapshot import LEVELS, read_latest, stage_table
 
 MONTHLY = LEVELS[:2]
 WEEKLY = LEVELS
@@ -96,7 +92,7 @@ class Lake:
         may_be_empty: bool = False,
     ) -> None:
         values = stamp_values(self.as_of, levels)
-        write_snapshot(df, self.path(name), values, may_be_empty=may_be_empty)
+        Table(self.spark, self.path(name)).write(df, values, ("region",), may_be_empty)
 
 
 def run_monthly(lake: Lake) -> None:
@@ -142,41 +138,43 @@ def _normalized(df: DataFrame) -> DataFrame:
     return df.withColumns({c: nfc_strip(c) for c in strings})
 
 
-def _load(
+def _rows_to_load(
     lake: Lake,
     name: str,
     levels: tuple[str, ...],
-    served: str,
     schema: T.StructType,
     aliases: dict[str, str],
     required: tuple[str, ...] = (),
-    keys: tuple[str, ...] | None = None,
     stamp: dict[str, Column] | None = None,
     defaults: dict[str, Column] | None = None,
-) -> None:
+) -> DataFrame:
     newest = read_latest(lake.spark, lake.path(name), levels, stamp_values(lake.as_of, levels))
     rows = schemas.conform(newest, schema, stamp, aliases, defaults)
-    rows = _normalized(schemas.require_text(rows, required))
-    replace_snapshots(rows, served, levels if keys is None else keys)
+    return _normalized(schemas.require_text(rows, required))
 
 
 def served_table(spark: SparkSession, served: str, schema: T.StructType) -> DataFrame:
     """A served table with its declared types, snapshot columns included."""
-    return tuned(spark).read.schema(schema).parquet(served)
+    table = Table(tuned(spark), served)
+    return table.read() if table.exists() else spark.read.schema(schema).parquet(served)
 
 
 def load_sites(lake: Lake, served: str) -> None:
-    """Newest gold sites into the served table, in place of an earlier load of that snapshot."""
-    _load(
+    """Newest gold sites into the served table, in place of an earlier load of that snapshot.
+
+    A site is served once per snapshot; rows that lose against another one of their key are listed
+    in the quarantine table beside it. Edits of the sites are applied again.
+    """
+    rows = _rows_to_load(
         lake,
         "gold_sites",
         WEEKLY,
-        served,
         schemas.SERVED_SITE,
         aliases=schemas.SITE_NAMES,
         required=("name", "road_address"),
         defaults={"contract_status": F.lit(schemas.DEFAULT_STATUS)},
     )
+    serving.load(rows, served)
 
 
 def load_districts(lake: Lake, served: str) -> None:
@@ -184,10 +182,11 @@ def load_districts(lake: Lake, served: str) -> None:
     aliases = {"SHP_CD": "shp_code", "전략적_중요도": "importance"}
     month = F.lpad(F.col("month").cast("string"), 2, "0")
     stamp = {"year": F.col("year").cast("string"), "month": month}
-    _load(lake, "gold_districts", MONTHLY, served, schemas.SERVED_DISTRICT, aliases, stamp=stamp)
+    rows = _rows_to_load(lake, "gold_districts", MONTHLY, schemas.SERVED_DISTRICT, aliases, stamp=stamp)
+    Table(lake.spark, served).replace(rows, MONTHLY)
 
 
 def load_lots(lake: Lake, served: str) -> None:
     """Public lots; the whole served table is replaced."""
     aliases = {"공영차고지명": "lot_name", "주소": "address"}
-    _load(lake, "gold_lots", MONTHLY, served, schemas.SERVED_LOT, aliases, keys=())
+    Table(lake.spark, served).replace(_rows_to_load(lake, "gold_lots", MONTHLY, schemas.SERVED_LOT, aliases), ())

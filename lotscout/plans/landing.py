@@ -9,11 +9,12 @@ from lotscout.plans.jobs import WEEKLY, Lake, stamp_values
 from lotscout.plans.ownership import ownership_from_lines
 from lotscout.plans.regional import regional_importance
 from lotscout.sources import regions, schemas
+from lotscout.sources.manifest import Table
 from lotscout.sources.snapshot import write_snapshot
 from lotscout.sources.text_files import header_columns, read_delimited
 
 def _land(lake: Lake, df: DataFrame, name: str, month: tuple[int, int]) -> None:
-    write_snapshot(df, lake.path(name), {"year": month[0], "month": month[1]})
+    Table(lake.spark, lake.path(name)).write(df, {"year": month[0], "month": month[1]}, ("region",))
 
 
 def previous_month(lake: Lake) -> tuple[int, int]:
@@ -53,26 +54,27 @@ def land_parcel(lake: Lake, files: str, month: tuple[int, int] | None = None) ->
 
 
 def land_stores(lake: Lake, files: str, target: str, quarter: str) -> None:
-    """Store files of one quarter (such as 2024Q3) with a header and a region suffix in the name."""
+    """Store files of one quarter (such as 2024Q3) with a header and a region suffix in the name.
+
+    Readers of stores know directories; a failed or empty run leaves the quarter as it was.
+    """
     columns = header_columns(lake.spark, files)
     region = regions.region_from_store_file(F.col("file_name"))
     rows = read_delimited(
         lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True
     )
-    out = rows.hint("rebalance", "region").write.mode("overwrite").partitionBy("region")
-    out.parquet(f"{target.rstrip('/')}/dataset={quarter}")
+    write_snapshot(rows, target, {"dataset": quarter})
 
 
 def land_districts(lake: Lake, sheet: DataFrame, codes: DataFrame, month: tuple[int, int]) -> None:
     """Importance per district from a table of registered vehicles (sido, sigungu, cargo_count)."""
     scored = regional_importance(sheet, codes)
     named = scored.withColumnsRenamed({"shp_code": "SHP_CD", "importance": "전략적_중요도"})
-    values = {"year": month[0], "month": month[1]}
-    write_snapshot(named, lake.path("gold_districts"), values, partition=())
+    Table(lake.spark, lake.path("gold_districts")).write(named, {"year": month[0], "month": month[1]})
 
 
 def land_ownership(lake: Lake, lines: DataFrame) -> None:
     """Owners from recognised register text, with the region their join needs."""
     owners = regions.with_region_of_address(ownership_from_lines(lines), "address")
     rows = schemas.to_source(owners, schemas.OWNERSHIP_NAMES)
-    write_snapshot(rows, lake.path("ownership"), stamp_values(lake.as_of, WEEKLY))
+    Table(lake.spark, lake.path("ownership")).write(rows, stamp_values(lake.as_of, WEEKLY), ("region",))

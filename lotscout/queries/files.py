@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotscout.queries.registry import Tables, query
 from lotscout.queries.roles import ROLES, Role
 from lotscout.sources import schemas, text_files
+from lotscout.sources.manifest import Table
 from lotscout.sources.snapshot import (
     new_path,
     read_latest,
@@ -105,6 +106,24 @@ def write_snapshot(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, 2024 AS year, 5 AS month, 2 AS week, o_orderstatus AS region
+FROM orders WHERE o_orderstatus <> 'P'"""
+)
+def commit_snapshot(t: Tables) -> DataFrame:
+    """As write_snapshot, committed by manifest, with the versions that were replaced removed."""
+    base = new_path(t.spark, "committed")
+    table = Table(t.spark, base)
+    rows = _SITES.frame(t.spark, t.sf_dir).drop("year", "month")
+    doubled = rows.filter(F.col("region") != "P").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    for week, batch in ((1, rows), (2, rows), (2, doubled)):
+        table.write(batch, {"year": 2024, "month": 5, "week": week}, ("region",))
+    table.remove_old(grace_s=0)
+    return read_latest(t.spark, base).select(
+        "o_orderkey", "o_totalprice", "year", "month", "week", "region"
+    )
+
+
 @query(
     f"""SELECT o_orderkey, CASE WHEN year = 1996 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, region, year, month
 FROM ({_SITES.sql()}) WHERE year <> 1996 OR region = 'F'"""

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from lotscout.functions import dates
 from lotscout.functions.text import nfc_strip
 from lotscout.operators import serve
+from lotscout.plans import serving
 from lotscout.queries.registry import Tables, query
 from lotscout.queries.relational import _ZSCORES, _importance, _LISTED
 from lotscout.queries.roles import Role
 from lotscout.sources import schemas
-from lotscout.sources.snapshot import latest_snapshot, stage_table
+from lotscout.sources.manifest import Table
+from lotscout.sources.snapshot import LEVELS, latest_snapshot, new_path, stage_table
 
 TARGET = "경기 가시"
 _NEWEST = """(year, month, week) = (SELECT (year, month, week) FROM served WHERE region = '경기'
@@ -159,6 +161,54 @@ def last_value_per_key(t: Tables) -> DataFrame:
     return serve.last_value(t.events, "user_id", ["ts", "event_id"], "event_type")
 
 
+_ALL_COLUMNS = schemas.SERVED_SITE.fieldNames()
+_OTHERS = [c for c in _ALL_COLUMNS if c not in (*schemas.SITE_KEY, "total")]
+# one month a year, so that the served table has some hundred parts instead of thousands
+_YEARLY = "SELECT * REPLACE (12 AS month) FROM served"
+_JUDGED = f"""SELECT *, CASE WHEN row_number() OVER (PARTITION BY {", ".join(schemas.SITE_KEY)}
+  ORDER BY total DESC NULLS LAST, {", ".join(f"{c} NULLS FIRST" for c in _OTHERS)}) > 1 THEN 'repeated key' END AS reason
+FROM ({_YEARLY})"""
+
+
+def _yearly(t: Tables) -> DataFrame:
+    return t.served.withColumn("month", F.lit(12)).select(*_ALL_COLUMNS)
+
+
+@query(
+    f"""SELECT {", ".join(_TOP_COLUMNS)}, CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, name, road_address, idle_area DESC NULLS LAST, remarks NULLS FIRST) AS INTEGER) AS rank
+FROM served WHERE region = '경기' AND {_NEWEST} AND sigungu LIKE '%시%' ORDER BY rank LIMIT 15"""
+)
+def served_lookup(t: Tables) -> DataFrame:
+    """The best sites of a district from a table whose manifest names the newest snapshot of its region."""
+    table = Table(t.spark, new_path(t.spark, "served"))
+    table.replace(_yearly(t), LEVELS, ("region",))
+    return serve.top_sites(table, "경기 시").select(*_TOP_COLUMNS, "rank")
+
+
+@query(f"SELECT {', '.join(_ALL_COLUMNS)}, reason FROM ({_JUDGED})")
+def enforced_keys(t: Tables) -> DataFrame:
+    """Every row with the reason why it is not served."""
+    return serving.judge(_yearly(t))
+
+
+@query(
+    f"""SELECT s.* EXCLUDE (reason) REPLACE (CASE WHEN e.name IS NULL THEN s.total ELSE round(suitability * profitability * (e.parking / 5e0) * 100, 6) END AS total,
+  CASE WHEN e.name IS NULL THEN s.parking ELSE e.parking END AS parking,
+  CASE WHEN e.name IS NULL THEN s.contract_status ELSE e.contract_status END AS contract_status,
+  CASE WHEN e.name IS NULL THEN s.remarks ELSE e.remarks END AS remarks)
+FROM ({_JUDGED}) s LEFT JOIN ({_LATEST_EDITS}) e ON s.name = e.name AND s.road_address = e.road_address WHERE reason IS NULL"""
+)
+def edits_over_loads(t: Tables) -> DataFrame:
+    """Snapshots loaded, edited, and those of the last year loaded once more: the edits are still there."""
+    served = new_path(t.spark, "served")
+    rows = _yearly(t)
+    serving.load(rows, served)
+    edits = t.edit_log.withColumnsRenamed({"ts": "edited_at", "event_id": "edit_id"})
+    serving.record_edits(served, edits)
+    serving.load(rows.filter(F.col("year") == 2000), served)
+    return Table(t.spark, served).read().withColumn("total", F.round("total", 6))
+
+
 @query(
     "SELECT name, road_address, year, month, week, count(*) AS n FROM served GROUP BY ALL HAVING count(*) > 1"
 )

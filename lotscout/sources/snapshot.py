@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotscout.sources.manifest import Table
+
 LEVELS = ("year", "month", "week")
 
 
@@ -36,14 +38,19 @@ def read_latest(
 ) -> DataFrame:
     """Read the newest snapshot below `base`, not after `upto` if that is given.
 
-    It is found from directory names, level by level, so no file of another snapshot is opened or
-    listed. A missing level or an empty table is an error.
+    It is found in the table's manifest, or from directory names, level by level, so no file of
+    another snapshot is opened or listed. A missing level or an empty table is an error.
     """
     bound = None if upto is None else tuple(upto[level] for level in levels)
+    table = Table(spark, base)
+    committed = table.newest(levels, upto=bound)
     path = _newest(spark, base.rstrip("/"), list(levels), bound)
-    if path is None:
+    if path is None and not committed:
         raise ValueError(f"no snapshot in {base}" + ("" if bound is None else f" up to {bound}"))
-    parts = path.split("/")[-len(levels) :]
+    parts = [] if path is None else path.split("/")[-len(levels) :]
+    landed = tuple(int(part.partition("=")[2]) for part in parts)
+    if committed and tuple(committed[0].value(level) for level in levels) >= landed:
+        return table.read(committed)
     at = [F.col(c) == int(part.partition("=")[2]) for c, part in zip(levels, parts)]
     return spark.read.option("basePath", base).parquet(path).filter(reduce(Column.__and__, at))
 
@@ -97,19 +104,21 @@ def _beside(path: str) -> str:
     return f"{path.rpartition('/')[0]}/_new-{uuid.uuid4().hex}"
 
 
-def snapshot_path(base: str, values: dict[str, int]) -> str:
-    """base/year=YYYY/month=MM[/week=WW] with two-digit months and weeks."""
-    return "/".join([base, *(f"{k}={v:02d}" for k, v in values.items())])
+def snapshot_path(base: str, values: dict[str, int | str]) -> str:
+    """base/year=YYYY/month=MM[/week=WW] with two-digit months and weeks; text values as they are."""
+    return "/".join([base, *(f"{k}={v:02d}" if isinstance(v, int) else f"{k}={v}" for k, v in values.items())])
 
 
 def write_snapshot(
     df: DataFrame,
     base: str,
-    values: dict[str, int],
+    values: dict[str, int | str],
     partition: Sequence[str] = ("region",),
     may_be_empty: bool = False,
 ) -> str:
-    """Overwrite one snapshot directory, partitioned inside it.
+    """Overwrite one snapshot directory, partitioned inside it, for readers that know directories only.
+
+    It is put in place by two renames; `manifest.Table` needs none.
 
     The rebalance hint gathers each region into few files and splits a region that outgrows one
     task, so neither tiny files nor one hot writer appear. An empty snapshot is an error unless

@@ -9,6 +9,7 @@ from lotscout.functions.dates import week_of_month
 from lotscout.operators import serve
 from lotscout.plans import jobs, landing, stages
 from lotscout.sources import schemas
+from lotscout.sources.manifest import Table
 from lotscout.sources.snapshot import write_snapshot
 
 AS_OF = date(2026, 3, 18)
@@ -81,7 +82,7 @@ def test_whole_chain(spark, lake, tmp_path):
     served = str(tmp_path / "served")
     for _ in range(2):
         jobs.load_sites(lake, served)
-    sites = spark.read.parquet(served)
+    sites = jobs.served_table(spark, served, schemas.SERVED_SITE)
     (row,) = serve.top_sites(sites, "경기 양평군").collect()
     assert (row["name"], row.year, row.month, row.week, row.contract_status, row["rank"]) == (
         "가게", 2026, 3, 3, "후보", 1,
@@ -111,7 +112,7 @@ def test_other_loads(spark, lake, tmp_path):
     lots = spark.createDataFrame([("가", "나", 37.0, None)], "`공영차고지명` string, `주소` string, lat double, lon double")
     lots.write.mode("overwrite").parquet(lake.path("gold_lots") + "/year=2026/month=02")
     jobs.load_lots(lake, str(tmp_path / "l"))
-    assert serve.located(spark.read.parquet(str(tmp_path / "l"))).isEmpty()
+    assert serve.located(jobs.served_table(spark, str(tmp_path / "l"), schemas.SERVED_LOT)).isEmpty()
 
 
 def text_file(folder, name, *lines, charset="cp949"):
@@ -167,10 +168,12 @@ def test_other_landings(spark, tmp_path):
     codes = spark.createDataFrame([("경기", "평택시", "41220")], "sido string, sigungu string, shp_code string")
     landing.land_districts(lake, sheet, codes, (2026, 2))
     jobs.load_districts(lake, str(tmp_path / "served"))
-    served = {r.sigungu: r for r in spark.read.parquet(str(tmp_path / "served")).collect()}
+    loaded = jobs.served_table(spark, str(tmp_path / "served"), schemas.SERVED_DISTRICT)
+    served = {r.sigungu: r for r in loaded.collect()}
     assert served["평택시"].shp_code == "41220" and served["중구"].shp_code is None
     shapes = spark.createDataFrame([(41220, "Pyeongtaek")], "shp_code int, name string")
-    (shown,) = serve.district_map(spark.read.parquet(str(tmp_path / "served")), shapes).collect()
+    (shown,) = serve.district_map(loaded, shapes).collect()
+    assert serve.district_map(Table(spark, str(tmp_path / "served")), shapes).collect() == [shown]
     assert shown.name == "Pyeongtaek" and shown.cargo_count == 1200
 
     files = text_file(tmp_path / "s", "상가정보_경기_202409.csv", "상호명,주소", '"가, 게",나', charset="utf-8-sig")
