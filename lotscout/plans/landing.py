@@ -48,7 +48,7 @@ def land_parcel(lake: Lake, files: str, month: tuple[int, int] | None = None) ->
     columns = header_columns(lake.spark, files)
     region = regions.region_from_file_code(F.col("file_name"))
     rows = read_delimited(
-        lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True
+        lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True, quoted=True
     )
     _land(lake, rows, "raw_parcel", month or previous_month(lake))
 
@@ -61,7 +61,7 @@ def land_stores(lake: Lake, files: str, target: str, quarter: str) -> None:
     columns = header_columns(lake.spark, files)
     region = regions.region_from_store_file(F.col("file_name"))
     rows = read_delimited(
-        lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True
+        lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True, quoted=True
     )
     write_snapshot(rows, target, {"dataset": quarter})
 

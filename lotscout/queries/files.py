@@ -68,6 +68,23 @@ def ingest_header(t: Tables) -> DataFrame:
     return text_files.read_delimited(t.spark, paths, _COORD_COLUMNS, sep=",", header=True)
 
 
+_BROKEN = f"coalesce({_FIRST}, '') || chr(10) || '\"' || coalesce({_SECOND}, '') || '\",' || chr(10) || chr(10) || 'x'"
+
+
+@query(f"SELECT {_BROKEN} AS {_FIRST}, {_OTHERS} FROM bronze_coord")
+def ingest_quoted(t: Tables) -> DataFrame:
+    """Files with a header, in two charsets, whose records hold quotes, separators and line breaks."""
+    path = new_path(t.spark, "coord-quoted")
+    korean = F.col("region").isin("경기", "서울")
+    rows = t.bronze_coord.withColumn(_FIRST, F.expr(_BROKEN)).select("region", *_COORD_COLUMNS)
+    as_is = {**_AS_IS, "quoteAll": True, "escape": '"'}
+    with text_files.java_charsets(t.spark):
+        rows.filter(korean).drop("region").write.csv(f"{path}/korean", encoding=KOREAN_CHARSET, **as_is)
+    rows.filter(~korean).drop("region").write.csv(f"{path}/utf8", **as_is)
+    paths = [f"{path}/korean", f"{path}/utf8"]
+    return text_files.read_delimited(t.spark, paths, _COORD_COLUMNS, sep=",", header=True, quoted=True)
+
+
 @query("SELECT name, rep, address, biz_type, region FROM bronze_restaurant WHERE region = '경기'")
 def scan_region_pruned(t: Tables) -> DataFrame:
     base = new_path(t.spark, "restaurant")

@@ -212,3 +212,41 @@ def test_header_of_each_file(spark, tmp_path):
             text_files.read_delimited(
                 spark, str(tmp_path / f"{name}.csv"), ["id", "lot, main"], sep=",", header=True
             ).collect()
+
+
+@pytest.mark.parametrize("block", [1 << 20, 64, 7])
+@pytest.mark.parametrize("charset", ["utf-8-sig", "cp949"])
+def test_records_over_several_lines_and_blocks(spark, tmp_path, block, charset):
+    """Breaks inside quotes, blank lines and doubled quotes, wherever blocks of the file end."""
+    import csv
+    import random
+
+    r = random.Random(block)
+    want = []
+    for k in range(120):
+        cell = "".join(r.choice(["가", "b", '"', "\n", ",", " ", "뷁", "\n\n"]) for _ in range(r.randrange(0, 12)))
+        want.append((str(k), "가" + cell + "끝", "" if k % 5 == 0 else f"v{k}"))
+    want.append(("x", "long" + "\n줄" * 200, "end"))
+    for name, rows in (("a.csv", want[:60]), ("b.csv", want[60:])):
+        with open(tmp_path / name, "w", encoding=charset, newline="") as f:
+            writer = csv.writer(f, lineterminator="\r\n")
+            writer.writerow(["id", "text", "v"])
+            writer.writerows(rows)
+            f.write("\r\n")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, str(block))
+        df = text_files.read_delimited(spark, str(tmp_path), ["id", "text", "v"], sep=",", header=True, quoted=True)
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    assert got == sorted(want)
+
+
+def test_quotes_that_stay_open_are_an_error(spark, tmp_path):
+    write(tmp_path / "in/a.csv", 'a,b\n1,"x\ny\n2,z\n', "utf-8")
+    with pytest.raises(ValueError, match="not closed"):
+        text_files.read_delimited(spark, str(tmp_path / "in"), ["a", "b"], sep=",", header=True, quoted=True)
