@@ -33,6 +33,11 @@ def left_join_one(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataF
     return left.join(_without_shared(right, left, on), list(on), "left")
 
 
+def left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a table with any, but not very many, rows per key: one shuffle of either side."""
+    return left.join(_without_shared(right, left, on), list(on), "left")
+
+
 def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join to a table with any number of rows per key, also very many for one key.
 
@@ -50,24 +55,19 @@ def with_single_child(
     """Parents with at most one identified child, left joined to their children.
 
     Equals joining first and keeping parents whose non-NULL child keys count 0 or 1. Children are
-    reduced to one row per parent before they are shuffled, so a parent with very many children
-    never gathers them. Parents must be unique by `key`. Children without a child key do not
-    count, but are joined to the parents that are kept.
+    counted before any of them is gathered: a hash aggregate of numbers, added up by each task. Only
+    parents that pass meet their children, by an inner join, which can be split on either side
+    and lets a runtime filter of the parents' keys drop other children before they are shuffled.
+    Parents must be unique by `key`. Children without a child key do not count, but are joined to
+    the parents that are kept. Children are read twice, the first time only their two keys.
     """
     payload = [c for c in children.columns if c != key and c not in parents.columns]
     held = children.select(key, *payload).filter(F.col(key).isNotNull())
-    identified = F.col(child_key).isNotNull()
-    summary = held.groupBy(key).agg(
-        F.count(child_key).alias("n"),
-        F.count_if(~identified).alias("keyless"),
-        F.min(F.when(identified, F.struct(*payload))).alias("child"),
-    )
-    kept = parents.join(summary, key, "left").filter(F.coalesce("n", F.lit(0)) <= 1)
-    direct = kept.filter(F.col("n").isNull() | (F.col("n") == 1))
-    with_keyless = kept.filter(F.col("keyless") > 0).select(*parents.columns)
-    return direct.select(*parents.columns, "child.*").unionByName(
-        with_keyless.join(held.filter(~identified), key)
-    )
+    counts = held.groupBy(key).agg(F.count(child_key).alias("n"))
+    kept = parents.join(counts, key, "left").filter(F.coalesce("n", F.lit(0)) <= 1)
+    childless = kept.filter(F.col("n").isNull()).select(*parents.columns)
+    with_children = kept.filter(F.col("n").isNotNull()).select(*parents.columns).join(held, key)
+    return with_children.select(*parents.columns, *payload).unionByName(childless, allowMissingColumns=True)
 
 
 def in_groups_with(df: DataFrame, group: Sequence[str], marker: str) -> DataFrame:

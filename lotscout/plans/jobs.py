@@ -7,6 +7,7 @@ stages the data lives in written tables, committed by manifest.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotscout.functions.text import nfc_strip
+from lotscout.operators.state import carried, to_try
 from lotscout.plans import clean, serving, stages
 from lotscout.session import tuned
-from lotscout.sources import schemas
+from lotscout.sources import gate, schemas
 from lotscout.sources.manifest import Table
 from lotscout.sources.snapshot import LEVELS, read_latest, stage_table
 
@@ -40,12 +42,15 @@ FOLDERS = {
     "s1_located": "silver/s1/restaurant_coord",
     "s1_candidates": "silver/s1/toji_list",
     "s1_fetch_list": "silver/s1/crawling_list",
+    "fetch_state": "silver/s1/fetch_state",
     "ownership": "silver/s2/ownership_inference",
     "s2_owner": "silver/s2/toji_owner_match",
     "gold_sites": "gold/restaurant",
     "gold_districts": "gold/chajoo_dist",
+    "unmapped_districts": "gold/chajoo_dist_unmapped",
     "gold_lots": "gold/parking_area",
 }
+FETCH_KEY = ["dong", "lot_main", "change_date", "region"]
 FETCH_NAMES = {
     "법정동명": "dong", "본번": "lot_main", "소유권변동일자": "change_date", "부번": "lot_sub",
     "region": "region",
@@ -122,8 +127,31 @@ def run_weekly(lake: Lake, region: str | None, changed_days: int | None = None)
     lake.write(fetch, "s1_fetch_list", WEEKLY, may_be_empty=changed_days is not None)
 
 
-def run_gold(lake: Lake) -> None:
-    """Owners matched to candidates, and scored sites."""
+def run_fetching(lake: Lake, outcomes: DataFrame, max_attempts: int = 5) -> DataFrame:
+    """Carry the state of register fetching over one week; returns what is to be tried next.
+
+    `outcomes` has one row per try of this week: dong, lot_main, change_date, region, ok. The state
+    of the week follows from that of an earlier week, so a rerun of the week changes nothing.
+    """
+    stamp = stamp_values(lake.as_of, WEEKLY)
+    wanted = lake.raw("s1_fetch_list", FETCH_NAMES, WEEKLY).select(*(F.col(c).cast("string") for c in FETCH_KEY))
+    table = Table(lake.spark, lake.path("fetch_state"))
+    earlier = table.newest(WEEKLY, upto=(stamp["year"], stamp["month"], stamp["week"] - 1))
+    tried = outcomes.select(*(F.col(c).cast("string") for c in FETCH_KEY), "ok")
+    run = F.lit(stamp["year"] * 1000 + stamp["month"] * 10 + stamp["week"])
+    state = carried(table.read(earlier) if earlier else None, wanted, tried, FETCH_KEY, run, max_attempts)
+    lake.write(state, "fetch_state", WEEKLY)
+    return to_try(lake.latest("fetch_state", WEEKLY))
+
+
+def run_gold(lake: Lake, regions: Sequence[str] = ()) -> None:
+    """Owners matched to candidates, and scored sites.
+
+    The job is refused while a complete snapshot of its inputs lacks, or the part of one of the
+    `regions` in it; the error names all that lacks.
+    """
+    needs = [gate.Need(n, lake.path(n), WEEKLY, tuple(regions)) for n in ("s1_candidates", "ownership")]
+    gate.require(lake.spark, needs, stamp_values(lake.as_of, WEEKLY))
     ownership = lake.raw("ownership", schemas.OWNERSHIP_NAMES, WEEKLY)
     ownership = ownership.withColumn("change_date", F.try_to_date(F.col("change_date").cast("string")))
     owned = stages.s2_owner(lake.latest("s1_candidates", WEEKLY), ownership)

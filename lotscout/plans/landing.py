@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotscout.functions import dates
+from lotscout.operators.joins import unmapped
 from lotscout.plans.jobs import WEEKLY, Lake, stamp_values
 from lotscout.plans.ownership import ownership_from_lines
 from lotscout.plans.regional import regional_importance
@@ -53,8 +55,20 @@ def land_parcel(lake: Lake, files: str, month: tuple[int, int] | None = None) ->
     _land(lake, rows, "raw_parcel", month or previous_month(lake))
 
 
-def land_stores(lake: Lake, files: str, target: str, quarter: str) -> None:
-    """Store files of one quarter (such as 2024Q3) with a header and a region suffix in the name.
+def quarter_of_files(lake: Lake, files: str) -> str:
+    """The one quarter (such as 2024Q3) whose last month, yyyyMM, stands in the names of the files."""
+    names = lake.spark.read.format("binaryFile").load(files).select(F.col("path"))
+    month = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(20\d{4})", 1)
+    end = F.date_format(F.last_day(F.try_to_date(month, "yyyyMM")), "yyyyMMdd")
+    found = names.select(dates.quarter_tag(end).alias("q")).distinct().limit(2).collect()
+    if len(found) != 1 or found[0]["q"] is None:
+        raise ValueError(f"the files of {files} are not of one quarter")
+    return found[0]["q"]
+
+
+def land_stores(lake: Lake, files: str, target: str, quarter: str | None = None) -> None:
+    """Store files of one quarter, by default the one in their names, with a header and a region
+    suffix in the name.
 
     Readers of stores know directories; a failed or empty run leaves the quarter as it was.
     """
@@ -63,14 +77,20 @@ def land_stores(lake: Lake, files: str, target: str, quarter: str) -> None:
     rows = read_delimited(
         lake.spark, files, columns, region, sep=",", blank_as_null=True, header=True, quoted=True
     )
-    write_snapshot(rows, target, {"dataset": quarter})
+    write_snapshot(rows, target, {"dataset": quarter or quarter_of_files(lake, files)})
 
 
 def land_districts(lake: Lake, sheet: DataFrame, codes: DataFrame, month: tuple[int, int]) -> None:
-    """Importance per district from a table of registered vehicles (sido, sigungu, cargo_count)."""
+    """Importance per district from a table of registered vehicles (sido, sigungu, cargo_count).
+
+    Districts that the code map does not know are reported beside it.
+    """
     scored = regional_importance(sheet, codes)
     named = scored.withColumnsRenamed({"shp_code": "SHP_CD", "importance": "전략적_중요도"})
-    Table(lake.spark, lake.path("gold_districts")).write(named, {"year": month[0], "month": month[1]})
+    values = {"year": month[0], "month": month[1]}
+    Table(lake.spark, lake.path("gold_districts")).write(named, values)
+    unknown = unmapped(scored.select("sido", "sigungu"), codes, ["sido", "sigungu"])
+    Table(lake.spark, lake.path("unmapped_districts")).write(unknown, values, may_be_empty=True)
 
 
 def land_ownership(lake: Lake, lines: DataFrame) -> None:

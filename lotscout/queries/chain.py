@@ -33,8 +33,10 @@ class Chain:
 
     @cached_property
     def parcel(self) -> DataFrame:
-        building = clean.clean_building(self.t.bronze_building)
-        return stages.s0_parcel(clean.clean_parcel(self.t.bronze_parcel), building)
+        # both are read twice, as written tables, as by the monthly job
+        building = stage_table(clean.clean_building(self.t.bronze_building), "building")
+        parcel = stage_table(clean.clean_parcel(self.t.bronze_parcel), "parcel")
+        return stages.s0_parcel(parcel, building)
 
     @cached_property
     def located(self) -> DataFrame:

@@ -63,6 +63,18 @@ def join_left_building(t: Tables) -> DataFrame:
     return joins.left_join_many(parents, items, ["o_orderkey"])
 
 
+@query(
+    "SELECT o_orderkey, o_totalprice, l_linenumber, l_partkey, l_quantity FROM orders "
+    "LEFT JOIN lineitem ON o_orderkey = CASE WHEN l_quantity <= 15 THEN l_orderkey ELSE -l_orderkey END"
+)
+def join_left_plain(t: Tables) -> DataFrame:
+    # large items belong to no order, so that orders have no, one or many
+    key = F.when(F.col("l_quantity") <= 15, F.col("l_orderkey")).otherwise(-F.col("l_orderkey"))
+    items = t.lineitem.select(key.alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
+    parents = t.orders.select("o_orderkey", "o_totalprice")
+    return joins.left_join(parents, items, ["o_orderkey"])
+
+
 @query(
     "SELECT o_orderkey, c_name, c_nationkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 "
     "WHERE c_custkey IS NOT NULL"
