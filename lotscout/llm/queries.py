@@ -70,31 +70,41 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH split AS (
-      SELECT doc_id, md5(coalesce(text, '')) AS digest, string_split(text, chr(10)) AS lines FROM documents
+    WITH doc AS (
+      SELECT doc_id, text, md5(coalesce(text, '')) AS digest, count(*) AS copies FROM documents GROUP BY ALL
     ), line AS (
-      SELECT doc_id, digest, len(lines) AS n, unnest(lines) AS body, generate_subscripts(lines, 1) AS i FROM split
-    ), hashed AS (
-      SELECT *, ('0x' || substr(md5(body), 1, 7))::BIGINT AS h FROM line
-    ), rolled AS (
-      SELECT *, i = n OR (961 * coalesce(lag(h, 2) OVER w, 0) + 31 * coalesce(lag(h) OVER w, 0) + h) % 1000003 % 3 = 0 AS is_end
-      FROM hashed WINDOW w AS (PARTITION BY doc_id, digest ORDER BY i)
-    ), numbered AS (
-      SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id, digest ORDER BY i
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM rolled
-    ), chunk AS (
-      SELECT doc_id, digest, chunk, count(*) AS size, string_agg(body, chr(10) ORDER BY i) AS body
-      FROM numbered GROUP BY ALL
+      SELECT doc_id, digest, unnest(string_split(text, chr(10))) AS body,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM doc WHERE text IS NOT NULL
+    ), filled AS (
+      SELECT *, ('0x' || substr(md5(body), 1, 7))::BIGINT AS h, row_number() OVER (PARTITION BY doc_id, digest ORDER BY i) AS k
+      FROM line WHERE trim(body, ' ') <> ''
+    ), pair AS (
+      SELECT doc_id, digest, k, i AS first, lead(i) OVER w AS last, body, lead(body) OVER w AS next,
+        (31 * h + lead(h) OVER w) % 1000003 AS r, count(*) OVER (PARTITION BY doc_id, digest) - 1 AS n
+      FROM filled WINDOW w AS (PARTITION BY doc_id, digest ORDER BY k)
+    ), least AS (
+      SELECT *, CASE WHEN k <= greatest(n - 2, 1) THEN min(r) OVER (PARTITION BY doc_id, digest ORDER BY k
+        ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) END AS m FROM pair WHERE next IS NOT NULL
     ), judged AS (
-      SELECT *, size >= 2 AND length(body) >= 40
-        AND row_number() OVER (PARTITION BY body ORDER BY doc_id, digest, chunk) > 1 AS gone
-      FROM chunk
+      SELECT *, coalesce(r = m, false) OR coalesce(r = lag(m) OVER w, false) OR coalesce(r = lag(m, 2) OVER w, false) AS is_boundary,
+        row_number() OVER (PARTITION BY body, next ORDER BY doc_id NULLS LAST, digest, k) > 1 AS again
+      FROM least WINDOW w AS (PARTITION BY doc_id, digest ORDER BY k)
+    ), run AS (
+      SELECT doc_id, digest, min(first) AS first, max(last) AS last FROM (
+        SELECT *, k - row_number() OVER (PARTITION BY doc_id, digest ORDER BY k) AS run FROM judged WHERE again
+      ) GROUP BY doc_id, digest, run
+      HAVING bool_or(is_boundary) AND sum(length(body) + 1) + max_by(length(next), k) >= 40
+    ), cut AS (
+      SELECT l.doc_id, l.digest, count(*) AS n_lines, count(r.first) AS n_removed, count(DISTINCT r.first) AS n_chunks_removed,
+        coalesce(string_agg(l.body, chr(10) ORDER BY l.i) FILTER (r.first IS NULL), '') AS kept
+      FROM line l LEFT JOIN run r ON l.doc_id IS NOT DISTINCT FROM r.doc_id AND l.digest = r.digest AND l.i BETWEEN r.first AND r.last
+      GROUP BY l.doc_id, l.digest
+    ), whole AS (
+      SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+        coalesce(n_chunks_removed, 0)::BIGINT AS n_chunks_removed, sha256(kept) AS kept_sha256, unnest(range(copies)) AS copy
+      FROM doc d LEFT JOIN cut c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.digest = c.digest AND d.text IS NOT NULL
     )
-    SELECT doc_id, sum(size)::BIGINT AS n_lines,
-      coalesce(sum(size) FILTER (gone), 0)::BIGINT AS n_removed,
-      count(*) FILTER (gone)::BIGINT AS n_chunks_removed,
-      sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
-    FROM judged GROUP BY doc_id
+    SELECT doc_id, n_lines, n_removed, n_chunks_removed, kept_sha256 FROM whole
     """
 )
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -238,45 +238,107 @@ def test_benchmark_phrases(spark, docs, block_bytes):
     assert got.where("array_contains(near_ids, '7')").count() > 0
 
 
-def chunks_of(text):
-    lines = text.split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    out, own = [], []
-    for i, line in enumerate(lines):
-        own.append(line)
-        rolled = 961 * (h[i - 2] if i > 1 else 0) + 31 * (h[i - 1] if i else 0) + h[i]
-        if i == len(lines) - 1 or rolled % 1_000_003 % 3 == 0:
-            out.append(own)
-            own = []
+def line_cuts(rows, reach=3, min_chars=40):
+    """Kept lines, removed lines and chunks of (doc_id, text) rows, by a loop over all pairs of lines."""
+
+    def order(doc_id, text):
+        return doc_id is None, doc_id or 0, hashlib.md5((text or "").encode()).hexdigest()
+
+    def pairs_of(text):
+        lines = [(i, x) for i, x in enumerate(text.split("\n")) if x.strip(" ")]
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for _, x in lines]
+        r = [(31 * a + b) % 1_000_003 for a, b in zip(h, h[1:])]
+        windows = [r[j : j + reach] for j in range(max(len(r) - reach, 0) + 1)]
+        chosen = {j + d for j, w in enumerate(windows) for d, x in enumerate(w) if x == min(w)}
+        return [(i, j, f"{x}\n{y}", k in chosen) for k, ((i, x), (j, y)) in enumerate(zip(lines, lines[1:]))]
+
+    first = {}
+    for doc_id, text in rows:
+        for k, (_, _, body, _) in enumerate(pairs_of(text) if text is not None else []):
+            place = (order(doc_id, text), k)
+            first[body] = min(first.get(body, place), place)
+    out = []
+    for doc_id, text in rows:
+        if text is None:
+            out.append((None, 0, 0, 0))
+            continue
+        lines, gone, chunks, run = text.split("\n"), set(), 0, []
+        for k, pair in enumerate([*pairs_of(text), None]):
+            if pair is not None and first[pair[2]] != (order(doc_id, text), k):
+                run.append(pair)
+                continue
+            chars = sum(len(p[2].split("\n")[0]) + 1 for p in run) + (len(run[-1][2].split("\n")[1]) if run else 0)
+            if run and any(p[3] for p in run) and chars >= min_chars:
+                chunks += 1
+                gone |= set(range(run[0][0], run[-1][1] + 1))
+            run = []
+        out.append(("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone), chunks))
     return out
 
 
 def test_line_chunks(docs):
     rows = docs.collect()
-    order = lambda r: (r.doc_id is None, r.doc_id or 0, hashlib.md5((r.text or "").encode()).hexdigest())
-    first = {}
-    for r in rows:
-        for k, c in enumerate(chunks_of(r.text) if r.text is not None else []):
-            body = "\n".join(c)
-            first[body] = min(first.get(body, (order(r), k)), (order(r), k))
-    expected = []
-    for r in rows:
-        kept, gone, n = [], 0, 0
-        for k, c in enumerate(chunks_of(r.text) if r.text is not None else []):
-            body = "\n".join(c)
-            n += len(c)
-            if len(c) > 1 and len(body) >= 40 and first[body] != (order(r), k):
-                gone += len(c)
-            else:
-                kept.append(body)
-        text = None if r.text is None else "\n".join(kept)
-        expected.append((r.doc_id, text, r.row, r.score, r.pack, n, gone))
+    cuts = line_cuts([(r.doc_id, r.text) for r in rows])
+    expected = [(r.doc_id, text, r.row, r.score, r.pack, n, gone, chunks) for r, (text, n, gone, chunks) in zip(rows, cuts)]
     got = line_dedup.drop_repeated_chunks(docs)
-    same(got.select("doc_id", "text", "row", "score", "pack", "n_lines", "n_removed").collect(), expected)
+    same(
+        got.select("doc_id", "text", "row", "score", "pack", "n_lines", "n_removed", "n_chunks_removed").collect(), expected
+    )
     assert sum(e[6] for e in expected) > 0
     assert got.where("n_chars <> length(text)").count() == 0
 
 
+def line_texts():
+    """Blocks of 2 to 20 lines in several contexts, blank lines, repeats in one text and short lines."""
+    r = random.Random(21)
+    line = lambda: prose_line(r)
+    blocks = [[line() for _ in range(n)] for n in (2, 3, 4, 5, 10, 20) for _ in range(3)]
+    texts = []
+    for k in range(60):
+        parts = [line() for _ in range(r.randrange(0, 4))]
+        for block in r.sample(blocks, 3):
+            parts += block[:2] + [""] * r.randrange(0, 2) + block[2:] + [line() for _ in range(r.randrange(0, 3))]
+        texts.append("\n".join(parts))
+    texts += ["\n".join(blocks[3] * 3), "same\n" * 9, "a\nb\n\n" * 9, "\n\n", "x\n  \ny", None, "", texts[0]]
+    return list(enumerate(texts)) + [(0, texts[0]), (None, texts[1]), (None, None), (5, texts[9])]
+
+
+def prose_line(r):
+    return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 7))) for _ in range(r.randrange(2, 12)))
+
+
+def test_line_chunks_equal_loop_and_sql_with_clashing_columns(spark):
+    import duckdb
+
+    from lotscout.llm.queries import SQL
+
+    rows = line_texts()
+    clash = "doc_id long, text string, id int, digest string, id_null string, mark int, marks string, row int, lines int, gone int"
+    frame = spark.createDataFrame([(*x, 7, "mine", None, 1, "m", 2, 3, 4) for x in rows], clash).repartition(3)
+    got = line_dedup.drop_repeated_chunks(frame).collect()
+    assert {(r.id, r.digest, r.id_null, r.mark, r.marks, r.row, r.lines, r.gone) for r in got} == {(7, "mine", None, 1, "m", 2, 3, 4)}
+    cuts = line_cuts(rows)
+    same([(r.doc_id, r.text, r.n_lines, r.n_removed, r.n_chunks_removed) for r in got], [(i, *c) for (i, _), c in zip(rows, cuts)])
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
+    found = connection.sql(SQL["op5_line_dedup"]).fetchall()
+    same(found, [(i, n, gone, chunks, None if t is None else sha(t)) for (i, _), (t, n, gone, chunks) in zip(rows, cuts)])
+
+
+@pytest.mark.parametrize("n", [4, 10, 20])
+def test_recall_of_blocks_in_two_contexts(n):
+    """Second copies of blocks of more lines than the reach go whole, whatever stands around them."""
+    r = random.Random(n)
+    rows, lines = [], 0
+    for k in range(0, 200, 2):
+        block = [prose_line(r) + " and some more words here" for _ in range(n)]
+        for doc_id in (k, k + 1):
+            before, after = ([prose_line(r) for _ in range(3)] for _ in "ab")
+            rows.append((doc_id, "\n".join([*before, *block, *after])))
+        lines += n
+    assert sum(c[2] for c in line_cuts(rows)) == lines
+
+
 def test_quality_measures(docs):
     expected = []
     for r in docs.collect():
