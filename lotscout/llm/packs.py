@@ -47,8 +47,16 @@ def unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(flat.T).reshape(-1).view(kind)
 
 
-def pack_documents(docs: DataFrame, name: str, pack_bytes: int | None = None) -> DataFrame:
-    """Packs of (doc_id, text), written once. Null texts are empty; null ids stay null."""
+def pack_documents(
+    docs: DataFrame,
+    name: str,
+    pack_bytes: int | None = None,
+    more: Callable[[np.ndarray, np.ndarray], bytes] | None = None,
+) -> DataFrame:
+    """Packs of (doc_id, text), written once. Null texts are empty; null ids stay null.
+
+    `more` makes a further column of a pack's body and bounds, which readers can take without the body.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pack_bytes = pack_bytes or PACK_BYTES
 
@@ -66,7 +74,9 @@ def pack_documents(docs: DataFrame, name: str, pack_bytes: int | None = None) ->
                 "body": [squeeze(body.tobytes(), 3)],
             }
             number, ids, texts, size = number + 1, [], [], 0
-            return pa.RecordBatch.from_pydict(row, schema=_PACK_ARROW)
+            if more is None:
+                return pa.RecordBatch.from_pydict(row, schema=_PACK_ARROW)
+            return pa.RecordBatch.from_pydict({**row, "more": [more(body, bounds)]}, schema=_PACK_MORE)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -78,12 +88,13 @@ def pack_documents(docs: DataFrame, name: str, pack_bytes: int | None = None) ->
         if ids:
             yield emit()
 
-    return stage_table(rows.mapInArrow(gather, PACK_SCHEMA), name)
+    return stage_table(rows.mapInArrow(gather, PACK_SCHEMA if more is None else f"{PACK_SCHEMA}, more binary"), name)
 
 
 _PACK_ARROW = pa.schema(
     [("pack", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("bounds", pa.binary()), ("body", pa.binary())]
 )
+_PACK_MORE = _PACK_ARROW.append(pa.field("more", pa.binary()))
 _BLOB_ARROW = pa.schema([("shard", pa.int32()), ("pack", pa.int64()), ("blob", pa.binary())])
 
 

@@ -11,7 +11,8 @@ documents have, windows are dealt again: by what all windows have in common that
 within a range of offsets. Ranges that are still hot are parted further, down to single windows,
 and ranges that occur once stay at home. Equal windows have equal offsets, so they still meet.
 
-A shard compares equal segments byte by byte and sorts the suffixes of the distinct ones that share
+Segments are found once, when packs are written, and stay beside them. A pack sends one of its equal
+segments, by a digest of their bytes; a shard compares those of all packs byte by byte and sorts the suffixes of the distinct ones that share
 a smallest string by external induced sorting (`induced`): queues with a scratch file behind them
 carry suffixes and common prefixes. The text and the seeds of a run are held in memory; a run is
 bounded by RUN_BYTES and HOT segments.
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from lotscout.llm import induced, rolling
@@ -132,17 +134,39 @@ def _steps(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _segment_columns(length: int, gram: int):
+    """Function for packs: their segments as bytes, found once for all questions about them."""
+
+    def more(body: np.ndarray, bounds: np.ndarray) -> bytes:
+        first, count, hashes, place = segments(body, bounds, length, gram)
+        numbers = (np.diff(first, prepend=0), count, place - first)
+        return P.squeeze(b"".join(P.planes(x.astype(np.uint32)) for x in numbers) + hashes.tobytes())
+
+    return more
+
+
 class _Pack:
     def __init__(self, row: dict, length: int, gram: int):
         self.pack, self.length, self.reach = row["pack"], length, length - gram
-        self.ids = row["doc_ids"]
-        self.body, self.bounds = P.opened(row)
-        self.first, self.count, self.hashes, self.place = segments(self.body, self.bounds, length, gram)
+        if "body" in row:
+            self.ids = row["doc_ids"]
+            self.body, self.bounds = P.opened(row)
+        data = P.unsqueeze(row["more"])
+        n = len(data) // 20
+        steps, self.count, offset = (P.unplanes(data[4 * n * k : 4 * n * (k + 1)], np.uint32).astype(np.int64) for k in range(3))
+        self.first = np.cumsum(steps)
+        self.place = self.first + offset
+        self.hashes = np.frombuffer(data, U64, n, 12 * n)
 
     def _kinds(self) -> None:
-        """Tell distinct segments apart: the kind of each, one of each kind by hash, their number."""
+        """Tell distinct segments apart: the kind of each, one of each kind, their number.
+
+        Segments of a pack are equal if digests of 128 bits of their bytes are.
+        """
         ends = self.first + self.count + self.length - 1
-        h1, h2 = (rolling.Prefix(self.body, k).spans(self.first, ends) for k in (0, 1))
+        data = self.body.tobytes()
+        digests = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(self.first.tolist(), ends.tolist())]
+        h1, h2 = np.frombuffer(b"".join(digests), U64).reshape(-1, 2).T
         order = np.lexsort((self.first, h2, h1, self.hashes))
         new = np.ones(len(order), bool)
         for h in (self.hashes, h1, h2, self.count):
@@ -334,13 +358,13 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 32, wi
     """One row per document: bytes, removed bytes and runs, digest and bytes of the rest."""
     if not 0 < gram <= length:
         raise ValueError("the strings that name shards must fit in a window")
-    packed = P.pack_documents(docs, "byte-packs")
+    packed = P.pack_documents(docs, "byte-packs", more=_segment_columns(length, gram))
     shards = P.shard_count(packed)
 
     def census(row: dict):
         yield from _Pack(row, length, gram).census(shards)
 
-    shared = P.answer(P.ask(packed, census), _common(HOT), "shared")
+    shared = P.answer(P.ask(packed.select("pack", "more"), census), _common(HOT), "shared")
 
     def hot_census(row: dict):
         if _told(row["shared"])[1].any():
@@ -367,6 +391,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 32, wi
 
 
 def _kept(row: dict, length: int, gram: int, shards: int, with_bytes: bool) -> pa.RecordBatch:
+    if not row["repeats"]:
+        row["more"] = P.squeeze(b"")
     pack = _Pack(row, length, gram)
     gone = np.zeros(len(pack.body), bool)
     if row["repeats"]:

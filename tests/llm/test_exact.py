@@ -101,7 +101,12 @@ def test_hot_strings_are_dealt_again(spark, monkeypatch):
     made = []
     for k in range(0, len(texts), 10):
         body, bounds = rolling.join([t.encode() for t in texts[k : k + 10]])
-        made.append({"pack": k, "doc_ids": [], "bounds": bounds.tobytes(), "body": packs.squeeze(body.tobytes())})
+        made.append(
+            {
+                "pack": k, "doc_ids": [], "bounds": bounds.tobytes(), "body": packs.squeeze(body.tobytes()),
+                "more": suffix_dedup._segment_columns(50, 8)(body, bounds),
+            }
+        )
     whole, parted = (in_parts(made, 50, 8, hot) for hot in (1 << 30, 6))
     assert max(map(len, whole.values())) > 50 and max(map(len, parted.values())) <= 6
 
@@ -439,3 +444,27 @@ def test_benchmark_in_blocks_keeps_clashing_columns(spark):
     bench = spark.createDataFrame([(f"i{k}", f"alpha beta {w}") for k, w in enumerate(("gamma", "delta"))], "item_id string, text string")
     found = decontaminate.find_benchmark(rows, bench, block_bytes=20).collect()
     assert sorted((r.doc_id, r._row, r.kept, r.n_hit) for r in found) == [(1, 5, "k", 3), (2, 6, None, 0)]
+
+
+def test_repeated_bytes_of_a_whole_table_with_production_parameters(spark):
+    """length 200, gram 32 and the real bounds of hot strings, against all windows of all documents."""
+    from lotscout.llm.queries import RUNS
+
+    folder = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    body, bounds = rolling.join([t for _, t in rows])
+    data = body.tobytes()
+    windows = [
+        xxhash.xxh3_64_intdigest(data[i : i + 200]) for a, b in zip(bounds, bounds[1:]) for i in range(a, b - 200)
+    ]
+    values, which, times = np.unique(np.array(windows, np.uint64), return_inverse=True, return_counts=True)
+    twice, at, expected = times[which] > 1, 0, []
+    for (doc_id, t), a, b in zip(rows, bounds, bounds[1:]):
+        n = max(0, len(t) - 199)
+        gone = rolling.covered(np.flatnonzero(twice[at : at + n]), np.flatnonzero(twice[at : at + n]) + 200, len(t))
+        at += n
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        expected.append((doc_id, len(t), int(gone.sum()), len(rolling.runs(gone)[0]), sha(kept)))
+    found = RUNS["op1_suffix_array_dedup"](spark, folder)
+    same(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect(), expected)
+    assert at == len(windows) and sum(e[2] for e in expected) > 0
