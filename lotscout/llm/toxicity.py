@@ -1,19 +1,23 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity from the nearest labelled examples by exact TF-IDF cosine, over block-max inverted lists.
 
-The vectors are not those of whole texts: every term that marks the label in the training sample
-(log-likelihood ratio, in at least `min_docs` examples), and no other, spans them. Document
-frequencies of these terms are counted over all documents. The distinct vectors of the examples
-stand in an inverted index, one list of places and weights per term; examples with equal vectors
-share one place in it. A document adds up the lists of its terms, so the neighbours are exact.
-Documents of a task with equal vectors share one search.
+Vectors are those of whole texts: every word of the examples counts, by the logarithm of its count
+times its inverse document frequency over all documents times its relevance, one plus the squared
+log odds of the label in the sample where they are above one. Without that factor the few words
+that tell are lost among hundreds that do not; with it they lead, and all others still decide
+between texts that share them or have none.
+
+Examples lie in blocks, those with the same heaviest word side by side. For each word and block the
+index has the largest weight and the places and weights themselves. The largest weights
+bound the cosine of a whole block: the blocks with the highest bounds are searched first, and then only
+those that may still hold one of the nearest, so the neighbours are exact.
 
 The vote weighs neighbours by squared cosine, with `prior` votes for the overall share, and a
 logistic curve fitted on leave-one-out votes of the examples turns votes into scores. The evidence
 lists the nearest examples and their cosines.
 
-Defined results: documents without any such term, empty ones included, get the share of label 1
-among examples without one; ties go to the smaller example id; without training rows every score
-is zero. The number of examples is limited, and through them that of terms and frequencies.
+Defined results: documents without a word of the examples, empty ones included, get the score of the
+overall share; ties go to the smaller example id; without training rows every score is zero. The
+sample is bounded by its number of examples and by the number of their distinct words together.
 """
 
 from __future__ import annotations
@@ -22,19 +26,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotscout.llm import features, rolling
+from lotscout.sources.snapshot import stage_table
 
 U64 = np.uint64
 NEIGHBOURS, PRIOR_VOTES = 15, 0.3
+SAMPLE_WORDS = 1 << 23  # distinct words of the examples, summed over examples
+BLOCK = 64  # examples
+FIRST = 2  # blocks that are searched before the others are judged by their bounds
 REMEMBERED = 1 << 14  # searches that a task keeps for equal vectors, before it starts anew
 TIE = 2e-12  # cosines this close may be equal after rounding to 12 digits
 
 
-def _term_hashes(sample: DataFrame, size: int):
-    """doc_ids, labels and distinct term hashes with counts of a bounded sample, on the driver."""
+def _word_rows(sample: DataFrame) -> DataFrame:
+    """doc_id, label, distinct word hashes and counts of a sample; a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -44,37 +53,31 @@ def _term_hashes(sample: DataFrame, size: int):
                 terms, counts = np.unique(words.hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
+                        batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([len(terms)], pa.int64()),
                         pa.array([terms.tobytes()], pa.binary()), pa.array([counts.astype(np.int32).tobytes()], pa.binary()),
                     ],
-                    names=["doc_id", "label", "terms", "counts"],
+                    names=["doc_id", "label", "n_terms", "terms", "counts"],
                 )
 
-    rows = sample.mapInArrow(run, "doc_id long, label int, terms binary, counts binary").limit(size).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return (
-        [r["doc_id"] for r in rows], np.array([r["label"] for r in rows], np.int64),
-        [np.frombuffer(r["terms"], U64) for r in rows], [np.frombuffer(r["counts"], np.int32) for r in rows],
-    )
-
-
-def marking_terms(labels: np.ndarray, terms: list[np.ndarray], min_docs: int = 4, least: float = 10.83) -> np.ndarray:
-    """Sorted hashes of all terms that mark label 1."""
-    if not len(labels):
-        return np.zeros(0, U64)
-    flat = np.concatenate(terms)
-    own = np.repeat(labels, [len(t) for t in terms])
-    term, which = np.unique(flat, return_inverse=True)
-    n1, n = labels.sum(), len(labels)
-    a = np.bincount(which, own, len(term))
-    both = np.bincount(which, minlength=len(term)).astype(float)
-    cells = [(a, n1), (both - a, n - n1), (n1 - a, n1), (n - n1 - both + a, n - n1)]
-    expected = [both * n1 / n, both * (n - n1) / n, (n - both) * n1 / n, (n - both) * (n - n1) / n]
-    ratio = sum(
-        2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(e, 1e-9)), 0)
-        for (seen, _), e in zip(cells, expected)
-    )
-    return term[(both >= min_docs) & (ratio >= least) & (a > expected[0])]
+    schema = "doc_id long, label int, n_terms long, terms binary, counts binary"
+    return stage_table(sample.mapInArrow(run, schema), "labelled-words")
+
+
+def _bounded(rows: DataFrame, size: int, words: int) -> DataFrame:
+    """The first examples by a hash that have no more than `words` words together."""
+    sizes = rows.select("doc_id", "n_terms").orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).collect()
+    upto = int(np.searchsorted(np.cumsum([r["n_terms"] for r in sizes]), words, "right"))
+    return rows if upto == len(sizes) else rows.where(F.col("doc_id").isin([r["doc_id"] for r in sizes[:upto]]))
+
+
+def relevance(labels: np.ndarray, which: np.ndarray, own: np.ndarray, n_terms: int, min_docs: int = 4) -> np.ndarray:
+    """Factor of each word: one, and more if it marks label 1 in the sample."""
+    n, n1 = len(labels), labels.sum()
+    both = np.bincount(which, minlength=n_terms)
+    ones = np.bincount(which, labels[own], n_terms)
+    odds = lambda k, total: np.log((k + 0.5) / (total - k + 0.5))
+    lead = np.maximum(odds(ones, n1) - odds(both - ones, n - n1) - 1, 0)
+    return 1 + np.where(both >= min_docs, lead**2, 0)
 
 
 def document_frequency(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
@@ -113,84 +116,94 @@ def vectors(texts: list[bytes], vocabulary: np.ndarray):
 
 
 class Index:
-    """Weights of the examples by term and by vector."""
+    """Weights of the examples by word and block."""
 
-    def __init__(self, vocabulary, idf, ids, labels, terms, counts):
-        self.vocabulary, self.idf = vocabulary, idf
+    def __init__(self, vocabulary, weights, ids, labels, terms, counts, block: int = BLOCK):
+        """`weights` of the vocabulary's words, and for each example its words (hashes) and counts."""
+        self.vocabulary, self.word_weight, self.block = vocabulary, weights, block
         rows = []
         for t, c in zip(terms, counts):
             at = np.minimum(np.searchsorted(vocabulary, t), max(len(vocabulary) - 1, 0))
             known = vocabulary[at] == t if len(vocabulary) else np.zeros(len(t), bool)
             rows.append(self.unit(at[known], c[known]))
-        filled = [i for i, (at, _) in enumerate(rows) if len(at)]
-        # equal vectors side by side
-        filled.sort(key=lambda i: (rows[i][0].tolist(), rows[i][1].tolist(), ids[i]))
-        empty = np.array([labels[i] for i in range(len(rows)) if not len(rows[i][0])])
-        self.blank = float((empty.sum() + 1) / (len(empty) + 10)) if len(labels) else 0.0
-        self.share = float(labels.mean()) if len(labels) else 0.0
-        self.ids = np.array([ids[i] for i in filled], np.int64)
-        self.labels = np.array([labels[i] for i in filled], np.float64)
-        new = [not j or not all(map(np.array_equal, rows[i], rows[filled[j - 1]])) for j, i in enumerate(filled)]
-        starts = np.flatnonzero(new)
-        # examples first[v] to first[v + 1] have vector v
-        self.first = np.append(starts, len(filled))
-        self.sizes = np.diff(self.first)
-        distinct = [rows[filled[start]] for start in starts]
-        none = [(np.zeros(0, np.int64), np.zeros(0))]
-        self.ends = np.cumsum([0, *(len(at) for at, _ in distinct)])
-        self.at, self.weight = map(np.concatenate, zip(*(distinct or none)))
-        # term t is in the vectors vector_of[lists[t] : lists[t + 1]]
-        order = np.argsort(self.at, kind="stable")
-        self.lists = np.searchsorted(self.at[order], np.arange(len(vocabulary) + 1))
-        self.vector_of = np.repeat(np.arange(len(distinct)), np.diff(self.ends))[order]
-        self.weight_of = self.weight[order]
+        # examples with the same heaviest word side by side
+        heaviest = [int(at[np.argmax(w)]) if len(at) else -1 for at, w in rows]
+        order = sorted(range(len(rows)), key=lambda i: (heaviest[i], ids[i]))
+        self.ids = np.array([ids[i] for i in order], np.int64)
+        self.labels = np.array([labels[i] for i in order], np.float64)
+        self.share = float(self.labels.mean()) if len(order) else 0.0
+        self.blocks = -(-len(order) // block)
+        sizes = np.array([len(rows[i][0]) for i in order], np.int64)
+        at = np.concatenate([rows[i][0] for i in order] or [np.zeros(0, np.int64)])
+        weight = np.concatenate([rows[i][1] for i in order] or [np.zeros(0)])
+        by_word = np.argsort(at, kind="stable")
+        at, self.weight = at[by_word], weight[by_word]
+        self.place = np.repeat(np.arange(len(order)), sizes)[by_word].astype(np.int32)
+        # a run of a word's places that lie in one block: its beginning, block and largest weight
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 0) | (np.diff(self.place // block) != 0)
+        start = np.flatnonzero(new)
+        self.run_start = np.append(start, len(at))
+        self.run_block = self.place[start] // block
+        self.run_most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
+        self.runs_of = np.searchsorted(at[start], np.arange(len(vocabulary) + 1))
         self.curve = None
 
     def unit(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weight = (1 + np.log(np.maximum(counts, 1))) * self.idf[at] if len(at) else np.zeros(0)
+        weight = (1 + np.log(np.maximum(counts, 1))) * self.word_weight[at] if len(at) else np.zeros(0)
         norm = np.sqrt((weight**2).sum())
         return at, weight / norm if norm > 0 else weight
 
     @property
     def weights(self) -> np.ndarray:
-        """Weights of all examples, by term and place."""
-        dense = np.zeros((len(self.vocabulary), len(self.sizes)))
-        dense[self.at, np.repeat(np.arange(len(self.sizes)), np.diff(self.ends))] = self.weight
-        return np.repeat(dense, self.sizes, axis=1)
-
-    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS):
-        """Places and cosines of the k examples nearest to a unit vector, exact."""
-        sizes = self.lists[at + 1] - self.lists[at]
-        place = np.arange(sizes.sum()) + np.repeat(self.lists[at] - np.cumsum(sizes) + sizes, sizes)
-        value = np.bincount(
-            self.vector_of[place], self.weight_of[place] * np.repeat(weight, sizes), minlength=len(self.sizes)
-        )
-        vector = np.flatnonzero(value > 0)
-        if len(vector) > k:
-            least = np.partition(value[vector], -k)[-k]
-            vector = vector[value[vector] >= least - TIE]
-        cosine = value[vector]
-        # of equal examples the first k, which have the smallest ids, are enough
-        counts = np.minimum(self.sizes[vector], k)
-        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        place, cosine = np.repeat(self.first[vector], counts) + within, np.repeat(cosine, counts)
-        order = np.lexsort((self.ids[place], -np.round(cosine, 12)))[:k]
-        return place[order], cosine[order]
+        """Weights of all examples, by word and place."""
+        dense = np.zeros((len(self.vocabulary), len(self.ids)))
+        runs = np.repeat(np.arange(len(self.vocabulary)), np.diff(self.runs_of))
+        dense[np.repeat(runs, np.diff(self.run_start)), self.place] = self.weight
+        return dense
+
+    def _search(self, runs: np.ndarray, weight: np.ndarray, cosine: np.ndarray) -> None:
+        """Add the weights of these runs of places to the cosines."""
+        sizes = self.run_start[runs + 1] - self.run_start[runs]
+        at = np.arange(sizes.sum()) + np.repeat(self.run_start[runs] - np.cumsum(sizes) + sizes, sizes)
+        cosine += np.bincount(self.place[at], self.weight[at] * np.repeat(weight, sizes), minlength=len(cosine))
+
+    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, searched: list | None = None):
+        """Places and cosines of the k examples nearest to a unit vector, exact.
+
+        The number of blocks that had to be searched is appended to `searched`.
+        """
+        many = self.runs_of[at + 1] - self.runs_of[at]
+        runs = np.arange(many.sum()) + np.repeat(self.runs_of[at] - np.cumsum(many) + many, many)
+        weight = np.repeat(weight, many)
+        block = self.run_block[runs]
+        bound = np.bincount(block, self.run_most[runs] * weight, minlength=self.blocks)
+        cosine = np.zeros(len(self.ids))
+        chosen = np.zeros(self.blocks, bool)
+        chosen[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        self._search(runs[chosen[block]], weight[chosen[block]], cosine)
+        if len(cosine) > k:
+            least = np.partition(cosine, -k)[-k] - TIE
+            rest = ~chosen & (bound > 0) & (bound >= least)
+            self._search(runs[rest[block]], weight[rest[block]], cosine)
+        else:
+            rest = ~chosen & (bound > 0)
+            self._search(runs[rest[block]], weight[rest[block]], cosine)
+        if searched is not None:
+            searched.append(int(chosen.sum() + rest.sum()))
+        place = np.flatnonzero(cosine > 0)
+        if len(place) > k:
+            place = place[cosine[place] >= np.partition(cosine[place], -k)[-k] - TIE]
+        order = np.lexsort((self.ids[place], -np.round(cosine[place], 12)))[:k]
+        return place[order], cosine[place[order]]
 
     def vote(self, place: np.ndarray, cosine: np.ndarray) -> float:
         weight = cosine**2
         return float((weight @ self.labels[place] + PRIOR_VOTES * self.share) / (weight.sum() + PRIOR_VOTES))
 
-    def calibrate(self) -> Index:
+    def calibrate(self, votes: np.ndarray, labels: np.ndarray) -> Index:
         """Logistic curve over leave-one-out votes of the examples, by Newton steps."""
-        votes = []
-        for v, (start, end) in enumerate(zip(self.first, self.first[1:])):
-            here = slice(self.ends[v], self.ends[v + 1])
-            place, cosine = self.nearest(self.at[here], self.weight[here], NEIGHBOURS + 1)
-            for own in range(start, end):
-                others = np.flatnonzero(place != own)[:NEIGHBOURS]
-                votes.append(self.vote(place[others], cosine[others]))
-        x, y = np.array(votes), self.labels
+        x, y = votes, labels.astype(float)
         if len(y) < 20 or y.min() == y.max():
             return self
         a, b = 0.0, 1.0
@@ -213,13 +226,43 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(a + b * vote, -30, 30))))
 
 
-def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE) -> Index:
+def _left_out_votes(rows: DataFrame, index: Index) -> list:
+    """doc_id and the vote of the others for each example; tasks share the examples."""
+    model = rows.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model.value
+        for batch in batches:
+            votes = []
+            for doc_id, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "terms", "counts"))):
+                at = np.searchsorted(own.vocabulary, np.frombuffer(terms, U64))
+                place, cosine = own.nearest(*own.unit(at, np.frombuffer(counts, np.int32)), NEIGHBOURS + 1)
+                others = np.flatnonzero(own.ids[place] != doc_id)[:NEIGHBOURS]
+                votes.append(own.vote(place[others], cosine[others]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], names=["doc_id", "vote"])
+
+    shares = rows.select("doc_id", "terms", "counts").repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    return shares.mapInArrow(run, "doc_id long, vote double").collect()
+
+
+def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE, words: int = SAMPLE_WORDS) -> Index:
     """The index of the labelled training rows in the sample, for `labels.toxic`."""
     chosen = features.labelled_sample(docs, labels, F.col("toxic"), sample)
-    ids, y, terms, counts = _term_hashes(chosen, sample)
-    vocabulary = marking_terms(y, terms)
+    rows = _bounded(_word_rows(chosen), sample, words)
+    found = sorted(rows.collect(), key=lambda r: r["doc_id"])
+    ids, y = [r["doc_id"] for r in found], np.array([r["label"] for r in found], np.int64)
+    terms = [np.frombuffer(r["terms"], U64) for r in found]
+    counts = [np.frombuffer(r["counts"], np.int32) for r in found]
+    flat = np.concatenate([*terms, np.zeros(0, U64)])
+    vocabulary, which = np.unique(flat, return_inverse=True)
+    own = np.repeat(np.arange(len(found)), [len(t) for t in terms])
     seen, n = document_frequency(docs, vocabulary)
-    return Index(vocabulary, np.log((n + 1) / (seen + 1)) + 1, ids, y, terms, counts).calibrate()
+    weights = np.log((n + 1) / (seen + 1)) + 1
+    if len(vocabulary):
+        weights *= relevance(y, which, own, len(vocabulary))
+    index = Index(vocabulary, weights, ids, y, terms, counts)
+    votes = {r["doc_id"]: r["vote"] for r in _left_out_votes(rows, index)} if len(ids) >= 20 else {}
+    return index.calibrate(np.array([votes[i] for i in ids]), y) if votes else index
 
 
 def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
@@ -228,7 +271,7 @@ def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
     known: dict[bytes, tuple[float, str]] = {}  # each task has its own
 
     def search(own: Index, at: np.ndarray, counts: np.ndarray) -> tuple[float, str]:
-        key = at.tobytes() + counts.tobytes()
+        key = xxhash.xxh3_128_digest(at.tobytes() + counts.tobytes())
         if key not in known:
             if len(known) >= REMEMBERED:
                 known.clear()
@@ -241,7 +284,8 @@ def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
         own = model.value
         doc, term, count = vectors(texts, own.vocabulary)
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
-        scores, evidence = np.full(len(texts), own.blank), [""] * len(texts)
+        blank = own.score(own.share) if len(own.ids) else 0.0
+        scores, evidence = np.full(len(texts), blank), [""] * len(texts)
         for i in np.flatnonzero(np.diff(bounds)):
             here = slice(bounds[i], bounds[i + 1])
             scores[i], evidence[i] = search(own, term[here], count[here])

@@ -66,17 +66,55 @@ def test_neighbours_equal_all_cosines():
         assert np.allclose(every[place], cosine)
 
 
-def test_every_marking_term_counts():
-    marks = np.arange(1, 701, dtype=np.uint64)
-    terms = [marks] * 6 + [np.array([1000 + i], np.uint64) for i in range(40)]
+def test_blocks_are_skipped_and_neighbours_stay_exact():
+    """Examples in groups with words of their own: most blocks are passed over, none that counts."""
+    r = np.random.default_rng(3)
+    words = np.arange(1, 401, dtype=np.uint64)
+    terms = [np.unique(r.choice(words[20 * (i % 20) : 20 * (i % 20) + 20], 8)) for i in range(1000)]
+    terms = [np.unique(np.append(t, words[r.integers(0, 400, 2)])) for t in terms]
+    counts = [r.integers(1, 5, len(t)) for t in terms]
+    index = toxicity.Index(words, r.random(400) + 0.5, list(range(1000)), r.integers(0, 2, 1000), terms, counts, 16)
+    searched = []
+    for i in range(0, 1000, 7):
+        at, weight = index.unit(terms[i].astype(np.int64) - 1, counts[i])
+        place, cosine = index.nearest(at, weight, searched=searched)
+        every = np.round(weight @ index.weights[at], 12)
+        best = np.lexsort((index.ids, -every))[: toxicity.NEIGHBOURS]
+        assert index.ids[place].tolist() == index.ids[best].tolist() and np.allclose(cosine, every[best])
+    assert np.mean(searched) < 0.7 * index.blocks
+
+
+def test_all_words_count_and_marking_ones_lead():
     labels = np.array([1] * 6 + [0] * 40)
-    vocabulary = toxicity.marking_terms(labels, terms)
-    assert np.array_equal(vocabulary, marks)
-    counts = [np.ones(len(t), np.int64) for t in terms]
-    index = toxicity.Index(vocabulary, np.ones(700), list(range(46)), labels, terms, counts)
-    for term in (0, 699):
-        place, cosine = index.nearest(np.array([term]), np.ones(1))
-        assert index.ids[place].tolist() == list(range(6)) and np.allclose(cosine, 700**-0.5)
+    terms = [np.array([1, 2, 100 + i], np.uint64) for i in range(6)] + [np.array([2, 200 + i % 5], np.uint64) for i in range(40)]
+    flat = np.concatenate(terms)
+    vocabulary, which = np.unique(flat, return_inverse=True)
+    own = np.repeat(np.arange(46), [len(t) for t in terms])
+    factor = dict(zip(vocabulary.tolist(), toxicity.relevance(labels, which, own, len(vocabulary))))
+    assert factor[1] > 10 and factor[2] == factor[200] == factor[100] == 1
+    index = toxicity.Index(vocabulary, np.ones(len(vocabulary)), list(range(46)), labels, terms, [np.ones(len(t), int) for t in terms])
+    assert index.weights.astype(bool).sum() == len(flat)
+
+
+def test_sample_is_bounded_by_words(spark, docs):
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    whole = toxicity.trained(docs, labels)
+    few = toxicity.trained(docs, labels, words=1500)
+    assert 0 < len(few.ids) < len(whole.ids) and len(few.place) <= 1500
+
+
+def test_scores_differ_between_texts(spark):
+    found = RUNS["op10_toxicity"](spark, SF)
+    n, distinct = found.agg(F.count("*"), F.countDistinct(F.round("score", 9))).first()
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("text").distinct().count()
+    assert distinct > 0.8 * texts and n == 1000
+
+
+def test_toxic_recall_on_held_out_labels(spark):
+    labels = spark.read.parquet(f"{BIG}/labels.parquet").where("toxic = 1")
+    found = RUNS["op10_toxicity"](spark, BIG).where("held_out").join(labels, "doc_id")
+    caught, n = found.agg(F.sum("predicted"), F.count("*")).first()
+    assert n > 100 and caught >= 0.9 * n
 
 
 def test_mixture_meets_its_targets(spark):
