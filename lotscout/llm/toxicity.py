@@ -6,10 +6,10 @@ log odds of the label in the sample where they are above one. Without that facto
 that tell are lost among hundreds that do not; with it they lead, and all others still decide
 between texts that share them or have none.
 
-Examples lie in blocks, those with the same heaviest word side by side. For each word and block the
-index has the largest weight and the places and weights themselves. The largest weights
-bound the cosine of a whole block: the blocks with the highest bounds are searched first, and then only
-those that may still hold one of the nearest, so the neighbours are exact.
+Examples lie in blocks, those with the same heaviest word side by side. A search adds up the lists of
+its rare words. What its common words can still add is bounded for each block by their largest
+weights in it: blocks that cannot have one of the nearest any more are skipped, and the weights of
+common words are added up for the others only. So the neighbours are exact.
 
 The vote weighs neighbours by squared cosine, with `prior` votes for the overall share, and a
 logistic curve fitted on leave-one-out votes of the examples turns votes into scores. The evidence
@@ -37,7 +37,8 @@ U64 = np.uint64
 NEIGHBOURS, PRIOR_VOTES = 15, 0.3
 SAMPLE_WORDS = 1 << 23  # distinct words of the examples, summed over examples
 BLOCK = 64  # examples
-FIRST = 2  # blocks that are searched before the others are judged by their bounds
+COMMON, MOST_COMMON = 0.1, 512  # share of the examples that a common word is in, and their number at most
+TOGETHER = 64  # vectors that are searched together
 REMEMBERED = 1 << 14  # searches that a task keeps for equal vectors, before it starts anew
 TIE = 2e-12  # cosines this close may be equal after rounding to 12 digits
 
@@ -132,21 +133,26 @@ class Index:
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
         self.share = float(self.labels.mean()) if len(order) else 0.0
-        self.blocks = -(-len(order) // block)
         sizes = np.array([len(rows[i][0]) for i in order], np.int64)
         at = np.concatenate([rows[i][0] for i in order] or [np.zeros(0, np.int64)])
         weight = np.concatenate([rows[i][1] for i in order] or [np.zeros(0)])
+        place = np.repeat(np.arange(len(order)), sizes)
+        # words of many examples: their weights by example, and the largest ones by block
+        many = np.bincount(at, minlength=len(vocabulary))
+        common = np.argsort(-many, kind="stable")[:MOST_COMMON]
+        common = np.sort(common[many[common] > max(COMMON * len(order), 1)])
+        self.column = np.full(len(vocabulary), -1)
+        self.column[common] = np.arange(len(common))
+        is_common = self.column[at] >= 0
+        self.rows = np.zeros((len(order), len(common)))
+        self.rows[place[is_common], self.column[at[is_common]]] = weight[is_common]
+        self.block_start = np.arange(0, max(len(order), 1), block)
+        self.most = np.maximum.reduceat(self.rows, self.block_start) if len(order) else self.rows
+        # lists of the other words
+        at, place, weight = at[~is_common], place[~is_common], weight[~is_common]
         by_word = np.argsort(at, kind="stable")
-        at, self.weight = at[by_word], weight[by_word]
-        self.place = np.repeat(np.arange(len(order)), sizes)[by_word].astype(np.int32)
-        # a run of a word's places that lie in one block: its beginning, block and largest weight
-        new = np.ones(len(at), bool)
-        new[1:] = (np.diff(at) != 0) | (np.diff(self.place // block) != 0)
-        start = np.flatnonzero(new)
-        self.run_start = np.append(start, len(at))
-        self.run_block = self.place[start] // block
-        self.run_most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
-        self.runs_of = np.searchsorted(at[start], np.arange(len(vocabulary) + 1))
+        self.place, self.weight = place[by_word], weight[by_word]
+        self.list_start = np.searchsorted(at[by_word], np.arange(len(vocabulary) + 1))
         self.curve = None
 
     def unit(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,39 +164,47 @@ class Index:
     def weights(self) -> np.ndarray:
         """Weights of all examples, by word and place."""
         dense = np.zeros((len(self.vocabulary), len(self.ids)))
-        runs = np.repeat(np.arange(len(self.vocabulary)), np.diff(self.runs_of))
-        dense[np.repeat(runs, np.diff(self.run_start)), self.place] = self.weight
+        dense[np.repeat(np.arange(len(self.vocabulary)), np.diff(self.list_start)), self.place] = self.weight
+        dense[self.column >= 0] = self.rows.T
         return dense
 
-    def _search(self, runs: np.ndarray, weight: np.ndarray, cosine: np.ndarray) -> None:
-        """Add the weights of these runs of places to the cosines."""
-        sizes = self.run_start[runs + 1] - self.run_start[runs]
-        at = np.arange(sizes.sum()) + np.repeat(self.run_start[runs] - np.cumsum(sizes) + sizes, sizes)
-        cosine += np.bincount(self.place[at], self.weight[at] * np.repeat(weight, sizes), minlength=len(cosine))
+    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS):
+        """Places and cosines of the k examples nearest to a unit vector, exact."""
+        return self.search([(at, weight)], k)[0]
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, searched: list | None = None):
-        """Places and cosines of the k examples nearest to a unit vector, exact.
+    def search(self, units: list[tuple], k: int = NEIGHBOURS, looked: list | None = None) -> list[tuple]:
+        """Places and cosines of the k examples nearest to each unit vector, exact.
 
-        The number of blocks that had to be searched is appended to `searched`.
+        The number of (vector, block) pairs whose common words were looked at is appended to `looked`.
         """
-        many = self.runs_of[at + 1] - self.runs_of[at]
-        runs = np.arange(many.sum()) + np.repeat(self.runs_of[at] - np.cumsum(many) + many, many)
-        weight = np.repeat(weight, many)
-        block = self.run_block[runs]
-        bound = np.bincount(block, self.run_most[runs] * weight, minlength=self.blocks)
-        cosine = np.zeros(len(self.ids))
-        chosen = np.zeros(self.blocks, bool)
-        chosen[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        self._search(runs[chosen[block]], weight[chosen[block]], cosine)
-        if len(cosine) > k:
-            least = np.partition(cosine, -k)[-k] - TIE
-            rest = ~chosen & (bound > 0) & (bound >= least)
-            self._search(runs[rest[block]], weight[rest[block]], cosine)
-        else:
-            rest = ~chosen & (bound > 0)
-            self._search(runs[rest[block]], weight[rest[block]], cosine)
-        if searched is not None:
-            searched.append(int(chosen.sum() + rest.sum()))
+        n = len(self.ids)
+        cosine = np.zeros((len(units), n))
+        common = np.zeros((len(units), self.rows.shape[1]))
+        for i, (at, weight) in enumerate(units):
+            column = self.column[at]
+            rare = column < 0
+            common[i, column[~rare]] = weight[~rare]
+            words = at[rare]
+            sizes = self.list_start[words + 1] - self.list_start[words]
+            here = np.arange(sizes.sum()) + np.repeat(self.list_start[words] - np.cumsum(sizes) + sizes, sizes)
+            value = self.weight[here] * np.repeat(weight[rare], sizes)
+            cosine[i] = np.bincount(self.place[here], value, minlength=n)
+        if common.size and n:
+            # what common words can add to an example of a block at most
+            bound = common @ self.most.T
+            need = bound > 0
+            if n > k:
+                least = np.partition(cosine, -k, axis=1)[:, -k, None] - TIE
+                need &= np.maximum.reduceat(cosine, self.block_start, axis=1) + bound >= least
+            for b in np.flatnonzero(need.any(0)):
+                here = slice(self.block_start[b], self.block_start[b] + self.block)
+                who = need[:, b]
+                cosine[who, here] += common[who] @ self.rows[here].T
+            if looked is not None:
+                looked.append(int(need.sum()))
+        return [self._best(row, k) for row in cosine]
+
+    def _best(self, cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         place = np.flatnonzero(cosine > 0)
         if len(place) > k:
             place = place[cosine[place] >= np.partition(cosine[place], -k)[-k] - TIE]
@@ -233,12 +247,16 @@ def _left_out_votes(rows: DataFrame, index: Index) -> list:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in batches:
+            ids, terms, counts = (batch.column(c).to_pylist() for c in ("doc_id", "terms", "counts"))
+            units = [
+                own.unit(np.searchsorted(own.vocabulary, np.frombuffer(t, U64)), np.frombuffer(c, np.int32))
+                for t, c in zip(terms, counts)
+            ]
             votes = []
-            for doc_id, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "terms", "counts"))):
-                at = np.searchsorted(own.vocabulary, np.frombuffer(terms, U64))
-                place, cosine = own.nearest(*own.unit(at, np.frombuffer(counts, np.int32)), NEIGHBOURS + 1)
-                others = np.flatnonzero(own.ids[place] != doc_id)[:NEIGHBOURS]
-                votes.append(own.vote(place[others], cosine[others]))
+            for x in range(0, len(units), TOGETHER):
+                for doc_id, (place, cosine) in zip(ids[x:], own.search(units[x : x + TOGETHER], NEIGHBOURS + 1)):
+                    others = np.flatnonzero(own.ids[place] != doc_id)[:NEIGHBOURS]
+                    votes.append(own.vote(place[others], cosine[others]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], names=["doc_id", "vote"])
 
     shares = rows.select("doc_id", "terms", "counts").repartition(rows.sparkSession.sparkContext.defaultParallelism)
@@ -257,7 +275,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE, w
     vocabulary, which = np.unique(flat, return_inverse=True)
     own = np.repeat(np.arange(len(found)), [len(t) for t in terms])
     seen, n = document_frequency(docs, vocabulary)
-    weights = np.log((n + 1) / (seen + 1)) + 1
+    weights = np.log((n + 1) / (seen + 1))
     if len(vocabulary):
         weights *= relevance(y, which, own, len(vocabulary))
     index = Index(vocabulary, weights, ids, y, terms, counts)
@@ -270,15 +288,12 @@ def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(index)
     known: dict[bytes, tuple[float, str]] = {}  # each task has its own
 
-    def search(own: Index, at: np.ndarray, counts: np.ndarray) -> tuple[float, str]:
-        key = xxhash.xxh3_128_digest(at.tobytes() + counts.tobytes())
-        if key not in known:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            place, cosine = own.nearest(*own.unit(at, counts))
-            evidence = ",".join(f"{own.ids[p]}:{c:.4f}" for p, c in zip(place[:3], cosine[:3]))
-            known[key] = own.score(own.vote(place, cosine)), evidence
-        return known[key]
+    def judged(own: Index, found: list[tuple]) -> list[tuple[float, str]]:
+        """Score and evidence of the results of a search."""
+        return [
+            (own.score(own.vote(place, cosine)), ",".join(f"{own.ids[p]}:{c:.4f}" for p, c in zip(place[:3], cosine[:3])))
+            for place, cosine in found
+        ]
 
     def score(texts: list[bytes]) -> dict:
         own = model.value
@@ -286,9 +301,20 @@ def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
         blank = own.score(own.share) if len(own.ids) else 0.0
         scores, evidence = np.full(len(texts), blank), [""] * len(texts)
-        for i in np.flatnonzero(np.diff(bounds)):
-            here = slice(bounds[i], bounds[i + 1])
-            scores[i], evidence[i] = search(own, term[here], count[here])
+        filled = np.flatnonzero(np.diff(bounds))
+        keys = [
+            xxhash.xxh3_128_digest(term[bounds[i] : bounds[i + 1]].tobytes() + count[bounds[i] : bounds[i + 1]].tobytes())
+            for i in filled
+        ]
+        if len(known) >= REMEMBERED:
+            known.clear()
+        new = {key: i for key, i in zip(keys, filled) if key not in known}
+        for x in range(0, len(new), TOGETHER):
+            some = list(new.items())[x : x + TOGETHER]
+            units = [own.unit(term[bounds[i] : bounds[i + 1]], count[bounds[i] : bounds[i + 1]]) for _, i in some]
+            known.update(zip((key for key, _ in some), judged(own, own.search(units))))
+        for key, i in zip(keys, filled):
+            scores[i], evidence[i] = known[key]
         return {"score": scores, "evidence": evidence}
 
     return features.per_document(docs, columns, score, "score double, evidence string")
