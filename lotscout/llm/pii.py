@@ -1,8 +1,10 @@
 """Personal data: patterns, and terms that give away whom a passage is about.
 
-Pattern matches (mail, address, card, phone) are the protected entities. For terms written near
-them, corpus counts tell how strongly a term reveals an entity: with n(t, e) documents that have t
-near e, n(t) documents that have t anywhere and n(e) documents that have e, of N,
+Pattern matches (mail, address, card, phone) are mentions of protected entities, on three levels: the
+value itself; the values linked with it, which share a mail domain, a network, a card issuer or a dialling
+code; and all values of its kind. For terms written near mentions, corpus counts tell how strongly a
+term reveals an entity: with n(t, e) documents that have t near e, n(t) documents that have t anywhere
+and n(e) documents that have e, of N,
 p(e|t) = n(t, e) / n(t), and the information gained is log2(p(e|t) N / n(e)) bits. A term that
 exceeds both thresholds, with enough joint documents for the estimate, is disclosing: above
 `remove_at` it is removed wherever it stands in the corpus, below it is generalised.
@@ -95,6 +97,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _entities(m: Column) -> Column:
+    """The entities that a match mentions: its value, the values linked with it, its kind."""
+    kind, value = m["kind"], F.lower(m["value"])
+    digits = _digits(value)
+    linked = (
+        F.when(kind == "email", F.substring_index(value, "@", -1))
+        .when(kind == "ip", F.substring_index(value, ".", 3))
+        .otherwise(F.substring(digits, F.lit(1), F.when(kind == "card", 6).otherwise(4)))
+    )
+    exact = F.when(kind == "email", value).when(kind == "ip", value).otherwise(digits)
+    return F.array(F.concat(kind, F.lit("="), exact), F.concat(kind, F.lit("~"), linked), kind)
+
+
 def _near(text: Column, match: Column, reach: int) -> Column:
     """Text before and after a match, without the match and without words that the reach cuts."""
     # one character more on either side tells whether a word goes on there
@@ -163,8 +178,7 @@ def find_personal_data(
     )
     base = stage_table(matched.select("doc_id", *KEY, mention.alias("mentions")), "pii-base")
     mentions = base.select(*KEY, F.explode("mentions").alias("m"))
-    value = F.when(F.col("m.kind") == "email", F.lower("m.value")).otherwise(_digits(F.col("m.value")))
-    mentions = mentions.select(*KEY, F.concat_ws(":", "m.kind", value).alias("entity"), "m.near")
+    mentions = mentions.select(*KEY, F.explode(_entities(F.col("m"))).alias("entity"), "m.near")
     terms = disclosing_terms(rows, mentions, min_joint, min_probability, min_bits, remove_at)
     terms = stage_table(terms, "pii-terms")
 

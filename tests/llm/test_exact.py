@@ -403,6 +403,76 @@ def test_short_terms_and_terms_with_digits(spark):
     assert not got[203] and not got[300] and not got[500]
 
 
+def disclosing(rows, spans, reach=48, min_joint=3, min_p=0.5, min_bits=4.0, remove_at=0.9):
+    """Terms that give away a value, the values linked with it or a kind, by counting in a loop."""
+    import math
+
+    import regex
+
+    term = regex.compile(r"[\p{L}\p{M}\p{Nd}]+")
+    anywhere, near, of_entity = Counter(), Counter(), Counter()
+    for (_, text), base in zip(rows, spans):
+        words = [(m.start(), m.end(), m.group()) for m in term.finditer(text)]
+        anywhere.update({w for _, _, w in words})
+        seen, entities = set(), set()
+        for kind, a, b in base:
+            value, digits = text[a:b].lower(), re.sub("[^0-9]", "", text[a:b])
+            linked = {"email": value.split("@")[-1], "ip": ".".join(value.split(".")[:3]), "card": digits[:6], "phone": digits[:4]}[kind]
+            mine = {kind, f"{kind}~{linked}", f"{kind}={value if kind in ('email', 'ip') else digits}"}
+            entities |= mine
+            cut = lambda x, y: [w for i, j, w in ((max(i, x), min(j, y), text[max(i, x) : min(j, y)]) for i, j, _ in words) if i < j]
+            around = [w for i, j, w in words if a - reach <= i and j <= b + reach and (j <= a or i >= b)]
+            around += [t for i, j, w in words if i < a < j and i >= a - reach for t in cut(i, a)]
+            around += [t for i, j, w in words if i < b < j and j <= b + reach for t in cut(b, j)]
+            seen |= {(e, w) for e in mine for w in around}
+        near.update(seen)
+        of_entity.update(entities)
+    best = {}
+    for (e, w), n in near.items():
+        p = n / anywhere[w] if anywhere[w] else 0
+        if n >= min_joint and p >= min_p and math.log2(p * len(rows) / of_entity[e]) >= min_bits:
+            best[w] = max(best.get(w, 0), p)
+    return {w: "removed" if p >= remove_at else "generalised" for w, p in best.items()}
+
+
+def test_disclosing_terms_equal_a_loop(spark):
+    """Terms of one value, of a mail domain with different values, of a kind, and those that tell nothing."""
+    r = random.Random(31)
+    rows = []
+    for i in range(600):
+        words = prose_line(r).split() + ["the", "und"] + prose_line(r).split()
+        if i % 40 == 0:
+            words += ["zorblax", f"p{i}@corp.org", "desk"]
+        if i % 45 == 1:
+            words += ["hotline", f"+49 30 {100000 + i}", "call"]
+        if i % 50 == 2:
+            words += ["gateway", "10.1.2.3", "und"]
+        if i % 55 == 3:
+            words += ["desk", f"10.{i % 200}.7.9,", "mail", f"u{i}@h{i}.net"]
+        if i % 97 == 4:
+            words += ["zorblax"]
+        if i % 60 == 5:
+            words += ["hotline", "desk", "call"]
+        rows.append((i, " ".join(words)))
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    want = disclosing(rows, [[(s.kind, s.first, s.last) for s in r.base] for r in found])
+    assert {"zorblax", "gateway", "hotline"} <= set(want) and not {"the", "und"} & set(want)
+    for (_, text), row in zip(rows, found):
+        added = [(s.kind, s.first, s.last) for s in row.spans[len(row.base) :]]
+        assert added == sorted((want[m.group()], m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text) if m.group() in want)
+
+
+def test_registered_personal_data_columns(spark):
+    from lotscout.llm.queries import RUNS
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    for r in RUNS["op3_personal_data"](spark, folder).collect():
+        text = lambda spans: ",".join(f"{s.kind}:{s.first}:{s.last}" for s in spans)
+        assert r.base_sha256 == sha(text(found[r.doc_id].base)) and r.spans == text(found[r.doc_id].spans)
+
+
 def test_empty_tables(spark, no_docs, docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     for out in (
