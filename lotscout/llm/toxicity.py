@@ -37,7 +37,7 @@ U64 = np.uint64
 NEIGHBOURS, PRIOR_VOTES = 15, 0.3
 SAMPLE_WORDS = 1 << 23  # distinct words of the examples, summed over examples
 BLOCK = 64  # examples
-COMMON, MOST_COMMON = 0.1, 512  # share of the examples that a common word is in, and their number at most
+COMMON, MOST_COMMON = 0.1, 256  # share of the examples that a common word is in, and their number at most
 TOGETHER = 64  # vectors that are searched together
 REMEMBERED = 1 << 14  # searches that a task keeps for equal vectors, before it starts anew
 TIE = 2e-12  # cosines this close may be equal after rounding to 12 digits
@@ -116,47 +116,77 @@ def vectors(texts: list[bytes], vocabulary: np.ndarray):
     return key // len(vocabulary), key % len(vocabulary), count
 
 
+def _damped(counts: np.ndarray) -> np.ndarray:
+    """Weight of a count: zero, or one plus its logarithm."""
+    return _DAMPED[counts] if counts.size and counts.max() < len(_DAMPED) else np.where(
+        counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0
+    )
+
+
+_DAMPED = np.concatenate([[0.0], 1 + np.log(np.arange(1, 1 << 12))])
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.uint16 if not len(values) or values.max() < 1 << 16 else np.uint32)
+
+
 class Index:
-    """Weights of the examples by word and block."""
+    """Examples by word and block; small, as it is sent to every executor."""
 
     def __init__(self, vocabulary, weights, ids, labels, terms, counts, block: int = BLOCK):
         """`weights` of the vocabulary's words, and for each example its words (hashes) and counts."""
         self.vocabulary, self.word_weight, self.block = vocabulary, weights, block
+        self.curve = self.shared = None
         rows = []
         for t, c in zip(terms, counts):
             at = np.minimum(np.searchsorted(vocabulary, t), max(len(vocabulary) - 1, 0))
             known = vocabulary[at] == t if len(vocabulary) else np.zeros(len(t), bool)
-            rows.append(self.unit(at[known], c[known]))
+            rows.append((at[known], np.asarray(c)[known]))
+        units = [self.unit(*row) for row in rows]
         # examples with the same heaviest word side by side
-        heaviest = [int(at[np.argmax(w)]) if len(at) else -1 for at, w in rows]
+        heaviest = [int(at[np.argmax(w)]) if len(at) else -1 for at, w in units]
         order = sorted(range(len(rows)), key=lambda i: (heaviest[i], ids[i]))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
         self.share = float(self.labels.mean()) if len(order) else 0.0
-        sizes = np.array([len(rows[i][0]) for i in order], np.int64)
+        self.norm = np.array([self.length(*rows[i]) for i in order])
         at = np.concatenate([rows[i][0] for i in order] or [np.zeros(0, np.int64)])
-        weight = np.concatenate([rows[i][1] for i in order] or [np.zeros(0)])
-        place = np.repeat(np.arange(len(order)), sizes)
-        # words of many examples: their weights by example, and the largest ones by block
+        count = _narrow(np.concatenate([rows[i][1] for i in order] or [np.zeros(0, np.int64)]))
+        place = _narrow(np.repeat(np.arange(len(order)), [len(rows[i][0]) for i in order]))
+        # words of many examples: their counts by example
         many = np.bincount(at, minlength=len(vocabulary))
         common = np.argsort(-many, kind="stable")[:MOST_COMMON]
-        common = np.sort(common[many[common] > max(COMMON * len(order), 1)])
-        self.column = np.full(len(vocabulary), -1)
-        self.column[common] = np.arange(len(common))
+        self.common = np.sort(common[many[common] > max(COMMON * len(order), 1)])
+        self.column = np.full(len(vocabulary), -1, np.int32)
+        self.column[self.common] = np.arange(len(self.common))
         is_common = self.column[at] >= 0
-        self.rows = np.zeros((len(order), len(common)))
-        self.rows[place[is_common], self.column[at[is_common]]] = weight[is_common]
-        self.block_start = np.arange(0, max(len(order), 1), block)
-        self.most = np.maximum.reduceat(self.rows, self.block_start) if len(order) else self.rows
+        self.common_counts = np.zeros((len(order), len(self.common)), count.dtype)
+        self.common_counts[place[is_common], self.column[at[is_common]]] = count[is_common]
         # lists of the other words
-        at, place, weight = at[~is_common], place[~is_common], weight[~is_common]
-        by_word = np.argsort(at, kind="stable")
-        self.place, self.weight = place[by_word], weight[by_word]
-        self.list_start = np.searchsorted(at[by_word], np.arange(len(vocabulary) + 1))
-        self.curve = None
+        by_word = np.argsort(at[~is_common], kind="stable")
+        self.place, self.count = place[~is_common][by_word], count[~is_common][by_word]
+        self.list_start = np.searchsorted(at[~is_common][by_word], np.arange(len(vocabulary) + 1)).astype(np.int32)
+        self._open()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("shared", "rows", "most", "block_start")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state, shared=None)
+        self._open()
+
+    def _open(self) -> None:
+        """Weights of common words by example, and the largest ones by block."""
+        norm = np.maximum(self.norm, 1e-300)[:, None]
+        self.rows = _damped(self.common_counts) * self.word_weight[self.common] / norm
+        self.block_start = np.arange(0, max(len(self.ids), 1), self.block)
+        self.most = np.maximum.reduceat(self.rows, self.block_start) if len(self.ids) else self.rows
+
+    def length(self, at: np.ndarray, counts: np.ndarray) -> float:
+        return float(np.sqrt(((_damped(counts) * self.word_weight[at]) ** 2).sum())) if len(at) else 0.0
 
     def unit(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weight = (1 + np.log(np.maximum(counts, 1))) * self.word_weight[at] if len(at) else np.zeros(0)
+        weight = _damped(counts.astype(np.int64)) * self.word_weight[at] if len(at) else np.zeros(0)
         norm = np.sqrt((weight**2).sum())
         return at, weight / norm if norm > 0 else weight
 
@@ -164,8 +194,9 @@ class Index:
     def weights(self) -> np.ndarray:
         """Weights of all examples, by word and place."""
         dense = np.zeros((len(self.vocabulary), len(self.ids)))
-        dense[np.repeat(np.arange(len(self.vocabulary)), np.diff(self.list_start)), self.place] = self.weight
-        dense[self.column >= 0] = self.rows.T
+        word = np.repeat(np.arange(len(self.vocabulary)), np.diff(self.list_start))
+        dense[word, self.place] = _damped(self.count) * self.word_weight[word] / self.norm[self.place]
+        dense[self.common] = self.rows.T
         return dense
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS):
@@ -185,10 +216,11 @@ class Index:
             rare = column < 0
             common[i, column[~rare]] = weight[~rare]
             words = at[rare]
-            sizes = self.list_start[words + 1] - self.list_start[words]
-            here = np.arange(sizes.sum()) + np.repeat(self.list_start[words] - np.cumsum(sizes) + sizes, sizes)
-            value = self.weight[here] * np.repeat(weight[rare], sizes)
+            first, sizes = self.list_start[words], np.diff(self.list_start)[words]
+            here = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+            value = _damped(self.count[here]) * np.repeat(weight[rare] * self.word_weight[words], sizes)
             cosine[i] = np.bincount(self.place[here], value, minlength=n)
+        cosine /= np.maximum(self.norm, 1e-300)
         if common.size and n:
             # what common words can add to an example of a block at most
             bound = common @ self.most.T
@@ -233,16 +265,16 @@ class Index:
         self.curve = (float(a), float(b))
         return self
 
-    def score(self, vote: float) -> float:
-        if self.curve is None:
+    def score(self, vote: float, curve: tuple[float, float] | None) -> float:
+        if curve is None:
             return vote
-        a, b = self.curve
+        a, b = curve
         return float(1 / (1 + np.exp(-np.clip(a + b * vote, -30, 30))))
 
 
 def _left_out_votes(rows: DataFrame, index: Index) -> list:
     """doc_id and the vote of the others for each example; tasks share the examples."""
-    model = rows.sparkSession.sparkContext.broadcast(index)
+    model = index.shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
@@ -279,19 +311,21 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE, w
     if len(vocabulary):
         weights *= relevance(y, which, own, len(vocabulary))
     index = Index(vocabulary, weights, ids, y, terms, counts)
+    index.shared = docs.sparkSession.sparkContext.broadcast(index)
     votes = {r["doc_id"]: r["vote"] for r in _left_out_votes(rows, index)} if len(ids) >= 20 else {}
     return index.calibrate(np.array([votes[i] for i in ids]), y) if votes else index
 
 
 def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
     """`columns` of `docs` with score and evidence: the three nearest examples as id:cosine."""
-    model = docs.sparkSession.sparkContext.broadcast(index)
+    model = index.shared or docs.sparkSession.sparkContext.broadcast(index)
+    curve = index.curve  # fitted after the index was sent
     known: dict[bytes, tuple[float, str]] = {}  # each task has its own
 
     def judged(own: Index, found: list[tuple]) -> list[tuple[float, str]]:
         """Score and evidence of the results of a search."""
         return [
-            (own.score(own.vote(place, cosine)), ",".join(f"{own.ids[p]}:{c:.4f}" for p, c in zip(place[:3], cosine[:3])))
+            (own.score(own.vote(place, cosine), curve), ",".join(f"{own.ids[p]}:{c:.4f}" for p, c in zip(place[:3], cosine[:3])))
             for place, cosine in found
         ]
 
@@ -299,7 +333,7 @@ def scored(docs: DataFrame, index: Index, columns: list[str]) -> DataFrame:
         own = model.value
         doc, term, count = vectors(texts, own.vocabulary)
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
-        blank = own.score(own.share) if len(own.ids) else 0.0
+        blank = own.score(own.share, curve) if len(own.ids) else 0.0
         scores, evidence = np.full(len(texts), blank), [""] * len(texts)
         filled = np.flatnonzero(np.diff(bounds))
         keys = [

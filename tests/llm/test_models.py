@@ -102,7 +102,7 @@ def test_sample_is_bounded_by_words(spark, docs):
     labels = spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
     whole = toxicity.trained(docs, labels)
     few = toxicity.trained(docs, labels, words=1500)
-    assert 0 < len(few.ids) < len(whole.ids) and len(few.place) + (few.rows > 0).sum() <= 1500
+    assert 0 < len(few.ids) < len(whole.ids) and len(few.place) + (few.common_counts > 0).sum() <= 1500
 
 
 def test_scores_differ_between_texts(spark):
