@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotscout.sources.snapshot import stage_table
-
 
 def _without_shared(right: DataFrame, left: DataFrame, on: Sequence[str]) -> DataFrame:
     return right.drop(*[c for c in right.columns if c in left.columns and c not in on])
@@ -70,13 +68,14 @@ def with_single_child(
     return with_children.select(*parents.columns, *payload).unionByName(childless, allowMissingColumns=True)
 
 
-def in_groups_with(df: DataFrame, group: Sequence[str], marker: str) -> DataFrame:
-    """Rows of the groups in which at least one row has the marker column. NULL keys never match.
+def groups_with(df: DataFrame, group: Sequence[str], marker: str) -> DataFrame:
+    """The groups in which at least one row has the marker column, one row each; no NULL keys."""
+    return df.dropna(subset=[marker, *group]).select(*group).distinct()
 
-    The marked groups are written first, one row each, so that a hot group is split in the join.
-    """
-    marked = df.filter(F.col(marker).isNotNull()).select(*group).distinct()
-    return df.join(stage_table(marked, "marked_groups"), list(group), "left_semi")
+
+def in_groups(df: DataFrame, groups: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows of the listed groups. `groups` should be a written table, so that a hot group is split."""
+    return df.join(groups, list(group), "left_semi")
 
 
 def union_padded(left: DataFrame, right: DataFrame) -> DataFrame:

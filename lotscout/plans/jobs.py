@@ -7,20 +7,22 @@ stages the data lives in written tables, committed by manifest.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotscout.functions.text import nfc_strip
+from lotscout.operators.joins import groups_with
 from lotscout.operators.state import carried, to_try
 from lotscout.plans import clean, serving, stages
 from lotscout.session import tuned
 from lotscout.sources import gate, schemas
 from lotscout.sources.manifest import Table
-from lotscout.sources.snapshot import LEVELS, read_latest, stage_table
+from lotscout.sources.snapshot import LEVELS, read_latest, stage_folder, stage_table
 
 MONTHLY = LEVELS[:2]
 WEEKLY = LEVELS
@@ -100,6 +102,18 @@ class Lake:
         Table(self.spark, self.path(name)).write(df, values, ("region",), may_be_empty)
 
 
+def cleans_up(job: Callable) -> Callable:
+    """Remove what the job has staged when it ends; its outputs are committed tables by then."""
+
+    @wraps(job)
+    def run(lake: Lake, *args, **kwargs):
+        with stage_folder(lake.spark):
+            return job(lake, *args, **kwargs)
+
+    return run
+
+
+@cleans_up
 def run_monthly(lake: Lake) -> None:
     """Clean registers, addresses with positions, and parkable parcels."""
     lake.write(clean.clean_address(lake.raw("raw_address", schemas.ADDRESS_NAMES)), "address")
@@ -110,15 +124,19 @@ def run_monthly(lake: Lake) -> None:
     lake.write(stages.s0_parcel(lake.latest("parcel"), lake.latest("building")), "s0_parcel")
 
 
+@cleans_up
 def run_weekly(lake: Lake, region: str | None, changed_days: int | None = None) -> None:
     """Restaurants, candidate parcels and the list of registers to fetch."""
     raw = lake.raw("raw_restaurant", schemas.RESTAURANT_NAMES, WEEKLY)
     lake.write(clean.clean_restaurant(raw, region), "restaurant", WEEKLY)
     located = stages.s1_located(lake.latest("restaurant", WEEKLY), lake.latest("s0_address"))
     lake.write(located, "s1_located", WEEKLY)
-    candidates = stages.s1_candidates(
-        lake.latest("s0_parcel"), lake.latest("s1_located", WEEKLY)
-    )
+    parcels = lake.latest("s0_parcel")
+    # read twice, for the groups and as part of the result
+    marked = stages.restaurant_parcels(parcels, lake.latest("s1_located", WEEKLY))
+    marked = stage_table(marked, "restaurant_parcels")
+    groups = stage_table(groups_with(marked, stages.GROUP, "name"), "marked_groups")
+    candidates = stages.s1_candidates(parcels, marked, groups)
     lake.write(candidates, "s1_candidates", WEEKLY)
     fetch = stages.s1_fetch_list(
         lake.latest("s1_candidates", WEEKLY), lake.as_of, changed_days
@@ -127,6 +145,7 @@ def run_weekly(lake: Lake, region: str | None, changed_days: int | None = None)
     lake.write(fetch, "s1_fetch_list", WEEKLY, may_be_empty=changed_days is not None)
 
 
+@cleans_up
 def run_fetching(lake: Lake, outcomes: DataFrame, max_attempts: int = 5) -> DataFrame:
     """Carry the state of register fetching over one week; returns what is to be tried next.
 
@@ -144,6 +163,7 @@ def run_fetching(lake: Lake, outcomes: DataFrame, max_attempts: int = 5) -> Data
     return to_try(lake.latest("fetch_state", WEEKLY))
 
 
+@cleans_up
 def run_gold(lake: Lake, regions: Sequence[str] = ()) -> None:
     """Owners matched to candidates, and scored sites.
 
@@ -187,6 +207,7 @@ def served_table(spark: SparkSession, served: str, schema: T.StructType) -> Data
     return table.read() if table.exists() else spark.read.schema(schema).parquet(served)
 
 
+@cleans_up
 def load_sites(lake: Lake, served: str) -> None:
     """Newest gold sites into the served table, in place of an earlier load of that snapshot.
 
@@ -205,6 +226,7 @@ def load_sites(lake: Lake, served: str) -> None:
     serving.load(rows, served)
 
 
+@cleans_up
 def load_districts(lake: Lake, served: str) -> None:
     """Newest district importance into the served table, with year and two-digit month as text."""
     aliases = {"SHP_CD": "shp_code", "전략적_중요도": "importance"}
@@ -214,6 +236,7 @@ def load_districts(lake: Lake, served: str) -> None:
     Table(lake.spark, served).replace(rows, MONTHLY)
 
 
+@cleans_up
 def load_lots(lake: Lake, served: str) -> None:
     """Public lots; the whole served table is replaced."""
     aliases = {"공영차고지명": "lot_name", "주소": "address"}

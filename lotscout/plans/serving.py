@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from lotscout.operators import serve
 from lotscout.sources import schemas
 from lotscout.sources.manifest import Part, Table, Values
-from lotscout.sources.snapshot import LEVELS, stage_table
+from lotscout.sources.snapshot import LEVELS, stage_folder, stage_table
 
 SITE = ["name", "road_address"]
 SPLIT = ("region",)
@@ -92,6 +92,11 @@ def apply_log(served: str, edited: DataFrame) -> list[Part]:
     Edits name values, not changes, so this can be repeated, for instance after a job was killed
     between the log and the table. If a load replaces one of the parts meanwhile, it starts over.
     """
+    with stage_folder(edited.sparkSession):
+        return _apply_log(served, edited)
+
+
+def _apply_log(served: str, edited: DataFrame) -> list[Part]:
     spark = edited.sparkSession
     table = Table(spark, served)
     wanted = stage_table(edited.select(*SITE).distinct(), "edited-sites")

@@ -12,13 +12,13 @@ from lotscout.functions import geo, score, text
 from lotscout.operators.aggregates import max_then_sum, smallest_per_group
 from lotscout.operators.filters import changed_since, present
 from lotscout.operators.joins import (
+    in_groups,
     left_join_one,
     union_padded,
     with_single_child,
 )
 from lotscout.operators.latest import first_per_key
 from lotscout.sources.schemas import SITE_NAMES
-from lotscout.sources.snapshot import stage_table
 
 # Land categories that can hold a parking lot.
 PARKABLE = ("대", "잡종지", "주차장")
@@ -59,21 +59,23 @@ def s1_located(restaurant: DataFrame, address: DataFrame) -> DataFrame:
     return restaurant.withColumnRenamed("address", "road_address").join(place, "road_address")
 
 
-def s1_candidates(parcels: DataFrame, restaurants: DataFrame) -> DataFrame:
+GROUP = ["dong", "lot_main"]
+
+
+def restaurant_parcels(parcels: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Built-up parcels, once per restaurant on them, in lot groups that have a name."""
+    built_up = parcels.filter(F.col("building_pk").isNotNull())
+    return built_up.join(present(restaurants.drop("region"), "name"), "parcel_id").dropna(subset=GROUP)
+
+
+def s1_candidates(parcels: DataFrame, marked: DataFrame, groups: DataFrame) -> DataFrame:
     """Parcels of the lot groups that hold a restaurant.
 
-    Built-up parcels appear once per restaurant on them, empty parcels with NULL in its place.
+    `marked` are the parcels with a restaurant (`restaurant_parcels`), `groups` their lot groups
+    (`joins.groups_with`), both written tables; empty parcels follow with NULL in the restaurant's place.
     """
-    built_up = parcels.filter(F.col("building_pk").isNotNull())
     empty = parcels.filter(F.col("building_pk").isNull())
-    with_restaurant = built_up.join(
-        present(restaurants.drop("region"), "name"), "parcel_id"
-    )
-    # read twice: for the groups and as part of the result; its own groups are marked by definition
-    group = ["dong", "lot_main"]
-    marked = stage_table(with_restaurant.dropna(subset=group), "restaurant_parcels")
-    groups = stage_table(marked.select(*group).distinct(), "marked_groups")
-    return union_padded(marked, empty.join(groups, group, "left_semi"))
+    return union_padded(marked, in_groups(empty, groups, GROUP))
 
 
 def s1_fetch_list(

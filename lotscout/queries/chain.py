@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotscout.operators.joins import groups_with
 from lotscout.plans import clean, stages
 from lotscout.queries.registry import Tables, query
 from lotscout.sources.snapshot import stage_table
@@ -44,9 +45,11 @@ class Chain:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return stages.s1_candidates(
-            stage_table(self.parcel, "s0_parcel"), stage_table(self.located, "s1_located")
-        )
+        parcels = stage_table(self.parcel, "s0_parcel")
+        marked = stages.restaurant_parcels(parcels, stage_table(self.located, "s1_located"))
+        marked = stage_table(marked, "restaurant_parcels")
+        groups = stage_table(groups_with(marked, stages.GROUP, "name"), "marked_groups")
+        return stages.s1_candidates(parcels, marked, groups)
 
     @cached_property
     def owned(self) -> DataFrame:

@@ -109,7 +109,8 @@ WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000 AND
 def group_semi(t: Tables) -> DataFrame:
     big = F.when(F.col("o_totalprice") > 450000, F.col("o_orderstatus")).alias("big")
     rows = t.orders.select("o_orderkey", "o_custkey", big)
-    return joins.in_groups_with(rows, ["o_custkey"], "big")
+    groups = stage_table(joins.groups_with(rows, ["o_custkey"], "big"), "marked_groups")
+    return joins.in_groups(rows, groups, ["o_custkey"])
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,10 +179,27 @@ def shared_folder(spark: SparkSession) -> str:
 _OWN_FOLDER = "lotscout.local.folder"
 
 
+_JOB: ContextVar[str] = ContextVar("job", default="")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, below a folder of this application."""
+    """A fresh path in the shared folder, below a folder of this application and, if there is one, job."""
     app = spark.conf.get("spark.app.id")
-    return f"{shared_folder(spark)}/lotscout/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/lotscout/{app}/{_JOB.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stage_folder(spark: SparkSession):
+    """Stages written inside go to a folder that is removed at the end, also after an error."""
+    name = f"job-{uuid.uuid4().hex}/"
+    path = new_path(spark, name).partition(name)[0] + name
+    token = _JOB.set(_JOB.get() + name)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        folder = _folder(spark, path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

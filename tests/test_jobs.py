@@ -1,6 +1,7 @@
 """The jobs over a small lake, from raw files' column names to the served table."""
 
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from lotscout.operators import serve
 from lotscout.plans import jobs, landing, stages
 from lotscout.sources import schemas
 from lotscout.sources.manifest import Table
-from lotscout.sources.snapshot import write_snapshot
+from lotscout.sources.snapshot import shared_folder, write_snapshot
 
 AS_OF = date(2026, 3, 18)
 MONTH = {"year": 2026, "month": 3}
@@ -90,6 +91,19 @@ def test_whole_chain(spark, lake, tmp_path):
     assert serve.active_contracts(sites, "경기 양평군").isEmpty()
 
 
+def test_jobs_remove_what_they_staged(spark, lake):
+    def staged():
+        root = Path(shared_folder(spark).removeprefix("file://"))
+        return {p for p in root.rglob("job-*")}
+
+    before = staged()
+    jobs.run_monthly(lake)
+    jobs.run_weekly(lake, "경기")
+    with pytest.raises(ValueError):
+        jobs.run_weekly(lake, "없는 곳")
+    assert staged() == before
+
+
 def test_fetch_list_of_recent_changes(spark, lake):
     jobs.run_monthly(lake)
     jobs.run_weekly(lake, None, changed_days=365 * 20)

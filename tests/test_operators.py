@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lotscout.operators import aggregates, filters, joins, latest, serve
 from lotscout.plans import ownership, regional, stages
+from lotscout.sources.snapshot import stage_table
 
 
 def plan_of(df):
@@ -90,7 +91,8 @@ def test_group_filter_ignores_null_keys(spark):
         [("a", 1, "x"), ("a", 1, None), ("a", 2, None), (None, 1, "x"), (None, 1, None)],
         "dong string, main int, name string",
     )
-    kept = joins.in_groups_with(df, ["dong", "main"], "name")
+    groups = stage_table(joins.groups_with(df, ["dong", "main"], "name"), "marked_groups")
+    kept = joins.in_groups(df, groups, ["dong", "main"])
     assert set(rows(kept)) == {("a", 1, "x"), ("a", 1, None)} and kept.count() == 2
 
 
@@ -142,7 +144,8 @@ def test_hot_group_is_split_in_group_filter(spark, small_skew_limits):
     df = hot(spark, 120_000, "dong", "main").withColumn(
         "name", F.when(F.hash("v") % 50 == 0, F.col("v"))
     )
-    kept = joins.in_groups_with(df, ["dong", "main"], "name")
+    groups = stage_table(joins.groups_with(df, ["dong", "main"], "name"), "marked_groups")
+    kept = joins.in_groups(df, groups, ["dong", "main"])
     assert splits(kept)
     marked = {r.dong for r in df.filter("name is not null").select("dong").distinct().collect()}
     assert kept.count() == df.filter(F.col("dong").isin(list(marked))).count()
