@@ -38,7 +38,8 @@ def unsqueeze(data: bytes) -> bytes:
 
 def planes(values: np.ndarray) -> bytes:
     """Values as byte planes, which compress well where the high bytes seldom change."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    width = values.dtype.itemsize
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), width).T).tobytes()
 
 
 def unplanes(data: bytes, kind) -> np.ndarray:

@@ -216,8 +216,8 @@ def test_suffix_order_and_common_prefixes():
                 assert c == next((k for k in range(n) if a[k] != b[k]), n)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
-def test_benchmark_phrases(spark, docs, block_bytes):
+@pytest.mark.parametrize("chunk", [1 << 17, 1])
+def test_benchmark_phrases(spark, docs, chunk):
     rows = docs.collect()
     some = [TOKEN.findall(r.text) for r in rows if r.text and 60 < len(TOKEN.findall(r.text)) < 300]
     items = [(1, " ".join(some[0][5:30])), (2, " ".join(some[1][:4])), (3, None), (4, "..."), (5, "one"), (10, "Two WORDS"), (None, "one")]
@@ -238,7 +238,7 @@ def test_benchmark_phrases(spark, docs, block_bytes):
                     hit |= set(range(k, k + len(x)))
                     found |= {str(i)} if i is not None else set()
         expected.append((r.doc_id, len(w), len(hit), len(found), ",".join(sorted(found)), r.row))
-    got = decontaminate.find_benchmark(docs, bench, block_bytes=block_bytes)
+    got = decontaminate.find_benchmark(docs, bench, chunk=chunk)
     same(got.select("doc_id", "n_words", "n_hit", "n_items", F.array_join("item_ids", ","), "row").collect(), expected)
     assert got.where("array_contains(near_ids, '7')").count() > 0
 
@@ -510,10 +510,45 @@ def test_words_that_polynomial_hashes_confuse(spark):
 def test_benchmark_in_blocks_keeps_clashing_columns(spark):
     rows = spark.createDataFrame(
         [(1, "alpha beta gamma", 5, "k"), (2, None, 6, None)], "doc_id long, text string, _row int, kept string"
-    )
+    ).withColumns({"segment": F.lit(1), "payload": F.lit("p"), "terms": F.lit(2.5), "hits": F.lit("gone")})
     bench = spark.createDataFrame([(f"i{k}", f"alpha beta {w}") for k, w in enumerate(("gamma", "delta"))], "item_id string, text string")
-    found = decontaminate.find_benchmark(rows, bench, block_bytes=20).collect()
+    found = decontaminate.find_benchmark(rows, bench, chunk=1).collect()
     assert sorted((r.doc_id, r._row, r.kept, r.n_hit) for r in found) == [(1, 5, "k", 3), (2, 6, None, 0)]
+    assert {(r.segment, r.payload, r.terms) for r in found} == {(1, "p", 2.5)} and all(isinstance(r.hits, list) for r in found)
+
+
+def test_large_benchmark_is_one_pass_over_a_stored_index(spark, monkeypatch):
+    """100 chunks of windows, documents in many segments, and a second benchmark on the same index."""
+    monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", 2000)
+    r = random.Random(17)
+    words = ["".join(r.choice("abcdef") for _ in range(r.randrange(1, 5))) for _ in range(400)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(0, 120))) for _ in range(150)]
+    items = [(f"i{k}", " ".join(r.choice(words) for _ in range(14))) for k in range(120)]
+    items += [(f"j{k}", " ".join(texts[k].split()[3:16])) for k in range(0, 150, 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    n = decontaminate._windows(bench, 10).count()
+    made = []
+    one = decontaminate._segment
+    index = decontaminate.index_documents(docs)
+    assert index.count() > 10
+    monkeypatch.setattr(decontaminate, "_segment", lambda t: made.append(t) or one(t))
+    for chosen, chunk in ((bench, n // 100), (bench.where("item_id like 'j%'"), 1 << 17)):
+        expected = []
+        for i, t in enumerate(texts):
+            w, found, hit = t.split(), set(), set()
+            for item, x in [tuple(x) for x in chosen.collect()]:
+                x = x.split()
+                for a in range(max(len(x) - 9, min(1, len(x)))):
+                    part = x[a : a + 10]
+                    for k in range(len(w) - len(part) + 1):
+                        if w[k : k + len(part)] == part:
+                            found.add(item)
+                            hit |= set(range(k, k + len(part)))
+            expected.append((i, len(w), len(hit), ",".join(sorted(found))))
+        got = decontaminate.search_index(index, [f for f in docs.schema if f.name == "doc_id"], chosen, chunk=chunk)
+        same(got.select("doc_id", "n_words", "n_hit", F.array_join("item_ids", ",")).collect(), expected)
+    assert not made and sum(e[2] for e in expected) > 100
 
 
 def test_repeated_bytes_of_a_whole_table_with_production_parameters(spark):
