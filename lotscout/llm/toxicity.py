@@ -25,18 +25,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotscout.llm import features, rolling
+from lotscout.llm.packs import planes, squeeze, unplanes, unsqueeze
 from lotscout.sources.snapshot import stage_table
 
 U64 = np.uint64
 NEIGHBOURS, PRIOR_VOTES = 15, 0.3
 SAMPLE_WORDS = 1 << 23  # distinct words of the examples, summed over examples
 BLOCK = 64  # examples
+RANGE = 1 << 15  # terms whose counts are sent as one value
 COMMON, MOST_COMMON = 0.1, 256  # share of the examples that a common word is in, and their number at most
 TOGETHER = 64  # vectors that are searched together
 REMEMBERED = 1 << 14  # searches that a task keeps for equal vectors, before it starts anew
@@ -82,26 +85,46 @@ def relevance(labels: np.ndarray, which: np.ndarray, own: np.ndarray, n_terms: i
 
 
 def document_frequency(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """Number of documents with each term, and of all documents; counted over the whole table."""
+    """Number of documents with each term, and of all documents; counted over the whole table.
+
+    A task adds up the counts of the whole vocabulary and sends them by ranges of terms, each as one
+    value; a range is added up over the tasks, and the driver gets one value per range.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    schema = "part int, n long, counts binary"
+
+    def row(part: int, n: int, counts: np.ndarray) -> pa.RecordBatch:
+        data = squeeze(planes(counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([n]), pa.array([data], pa.binary())], names=["part", "n", "counts"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
-        seen = np.zeros(len(terms) + 1, np.int64)
+        terms, n = shared.value, 0
+        seen = np.zeros(len(terms), np.int64)
         for batch in batches:
             texts = batch.column(0).cast(pa.binary())
             for a, b in rolling.slices(texts):
-                doc, term, _ = vectors([t or b"" for t in texts.slice(a, b - a).to_pylist()], terms)
-                seen[:-1] += np.bincount(term, minlength=len(terms))
-                seen[-1] += b - a
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["term", "n"])
-
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long")
-    rows = counts.groupBy("term").agg(F.sum("n").alias("n")).collect()
-    seen = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in rows:
-        seen[r["term"]] = r["n"]
-    return seen[:-1], int(seen[-1])
+                _, term, _ = vectors([t or b"" for t in texts.slice(a, b - a).to_pylist()], terms)
+                seen += np.bincount(term, minlength=len(terms))
+                n += b - a
+        yield row(-1, n, np.zeros(0, np.int64))
+        for part in range(-(-len(terms) // RANGE)):
+            mine = seen[part * RANGE : (part + 1) * RANGE]
+            if mine.any():
+                yield row(part, 0, mine)
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(unplanes(unsqueeze(c), np.int64) for c in group["counts"])
+        return pd.DataFrame({"part": group["part"].iloc[:1], "n": [group["n"].sum()], "counts": [squeeze(planes(total))]})
+
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    seen, n = np.zeros(len(vocabulary), np.int64), 0
+    for r in parts.groupBy("part").applyInPandas(add, schema).collect():
+        n += r["n"]
+        if r["part"] >= 0:
+            seen[r["part"] * RANGE : (r["part"] + 1) * RANGE] = unplanes(unsqueeze(r["counts"]), np.int64)
+    return seen, n
 
 
 def vectors(texts: list[bytes], vocabulary: np.ndarray):
@@ -142,9 +165,8 @@ class Index:
             at = np.minimum(np.searchsorted(vocabulary, t), max(len(vocabulary) - 1, 0))
             known = vocabulary[at] == t if len(vocabulary) else np.zeros(len(t), bool)
             rows.append((at[known], np.asarray(c)[known]))
-        units = [self.unit(*row) for row in rows]
         # examples with the same heaviest word side by side
-        heaviest = [int(at[np.argmax(w)]) if len(at) else -1 for at, w in units]
+        heaviest = [int(at[np.argmax(self.unit(at, c)[1])]) if len(at) else -1 for at, c in rows]
         order = sorted(range(len(rows)), key=lambda i: (heaviest[i], ids[i]))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
@@ -303,13 +325,12 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = features.SAMPLE, w
     ids, y = [r["doc_id"] for r in found], np.array([r["label"] for r in found], np.int64)
     terms = [np.frombuffer(r["terms"], U64) for r in found]
     counts = [np.frombuffer(r["counts"], np.int32) for r in found]
-    flat = np.concatenate([*terms, np.zeros(0, U64)])
-    vocabulary, which = np.unique(flat, return_inverse=True)
+    vocabulary, which = np.unique(np.concatenate([*terms, np.zeros(0, U64)]), return_inverse=True)
     own = np.repeat(np.arange(len(found)), [len(t) for t in terms])
+    factor = relevance(y, which, own, len(vocabulary)) if len(vocabulary) else 1.0
+    del found, which, own
     seen, n = document_frequency(docs, vocabulary)
-    weights = np.log((n + 1) / (seen + 1))
-    if len(vocabulary):
-        weights *= relevance(y, which, own, len(vocabulary))
+    weights = np.log((n + 1) / (seen + 1)) * factor
     index = Index(vocabulary, weights, ids, y, terms, counts)
     index.shared = docs.sparkSession.sparkContext.broadcast(index)
     votes = {r["doc_id"]: r["vote"] for r in _left_out_votes(rows, index)} if len(ids) >= 20 else {}
