@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotscout.functions import dates
+from lotscout.functions.text import strip_label
 from lotscout.operators.joins import unmapped
 from lotscout.plans.jobs import WEEKLY, Lake, stamp_values
 from lotscout.plans.ownership import ownership_from_lines
@@ -80,6 +81,16 @@ def land_stores(lake: Lake, files: str, target: str, quarter: str | None = None)
     write_snapshot(rows, target, {"dataset": quarter or quarter_of_files(lake, files)})
 
 
+def land_restaurants(lake: Lake, cells: DataFrame) -> None:
+    """Scraped licence rows, cells as text: a cell may repeat its column's header in front.
+
+    The region comes from the address; rows of pages that were read twice are kept once.
+    """
+    stripped = cells.select(*(strip_label(F.col(f"`{c}`"), c).alias(c) for c in schemas.LICENCE_COLUMNS))
+    rows = regions.with_region_of_address(stripped.distinct(), "소재지")
+    Table(lake.spark, lake.path("raw_restaurant")).write(rows, stamp_values(lake.as_of, WEEKLY), ("region",))
+
+
 def land_districts(lake: Lake, sheet: DataFrame, codes: DataFrame, month: tuple[int, int]) -> None:
     """Importance per district from a table of registered vehicles (sido, sigungu, cargo_count).
 

@@ -121,6 +121,16 @@ def test_quarter_from_file_names_and_kept_quarter(spark, tmp_path):
         landing.quarter_of_files(lake, str(files))
 
 
+def test_scraped_restaurants_feed_the_weekly_table(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), date(2026, 3, 18))
+    row = ["번호 1", "인허가번호 77", "업체명 가게", " 업종일반음식점", "대표자 홍길동", "소재지 경기도 양평군 용문로 5", "", "영업", None]
+    other = ["2", "78", "업체명", "휴게음식점", "김", "어딘가", None, None, None]
+    cells = spark.createDataFrame([row, row, other], ", ".join(f"`{c}` string" for c in schemas.LICENCE_COLUMNS))
+    landing.land_restaurants(lake, cells)
+    (got,) = lake.raw("raw_restaurant", schemas.RESTAURANT_NAMES, jobs.WEEKLY).collect()
+    assert tuple(got) == ("가게", "홍길동", "경기도 양평군 용문로 5", "일반음식점", "경기")
+
+
 def test_plain_left_join_has_two_shuffles(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
