@@ -7,6 +7,9 @@ import re
 from lotscout.queries.roles import ROLES
 
 
+# The patterns below are fixed values: they restate the text rules for the other engine.
+
+
 def rounded(sql: str, places: int) -> str:
     """Half-up rounding of the decimal digits a double prints, as Spark rounds doubles."""
     return f"CAST(round(CAST(CAST({sql} AS VARCHAR) AS DECIMAL(38, 20)), {places}) AS DOUBLE)"

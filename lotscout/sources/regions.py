@@ -67,6 +67,7 @@ REGION_BY_FULL_NAME = {
 }
 REGION_ALIASES = {**{short: short for short in REGION_BY_CODE.values()}, **REGION_BY_FULL_NAME}
 
+# Names of the province files.
 ADDRESS_FILE = r"^rnaddrkor_(.+)\.txt$"
 COORD_FILE = r"^entrc_(.+)\.txt$"
 STORE_FILE = r"_([가-힣]+)_\d{6}\.csv$"
