@@ -15,6 +15,7 @@ names. All steps work on arrays; there is no loop over suffixes.
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Iterator
 
@@ -40,7 +41,9 @@ class Queues:
 
     def _spill(self) -> None:
         if self.file is None:
-            self.file = tempfile.TemporaryFile()
+            # beside the files that Spark spills itself; gone with the task
+            places = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")
+            self.file = tempfile.TemporaryFile(dir=next((p for p in places if os.path.isdir(p)), None))
         self.file.seek(0, 2)
         for char, parts in self.held.items():
             for places, common in parts:

@@ -14,9 +14,9 @@ data, and it is what the driver gets and sends out. Documents are encoded and me
 links are written, and read again against the counts.
 
 Defined results: null and empty texts, and texts whose joined tokens are not the space and the text
-(white space or characters that a tokenizer alters), have no tokens and an empty digest; special
-tokens' strings are plain text; null and repeated ids give one row for each row of the input; other
-columns are ignored.
+(white space or characters that a tokenizer alters, bytes that are not valid UTF-8), have no tokens
+and an empty digest; special tokens' strings are plain text; null and repeated ids give one row for
+each row of the input; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -129,7 +129,7 @@ class Merged:
 
     def __init__(self, texts: list[bytes], both: Tokenizers, lane_bytes: int = LANE_BYTES):
         self.both = both
-        strings = [t.decode("utf-8") for t in texts]
+        strings = [t.decode("utf-8", "replace") for t in texts]
         a_lists = both.a_encode([" " + s for s in strings])
         b_lists = both.b_encode(strings)
         for i, text in enumerate(texts):

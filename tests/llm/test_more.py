@@ -156,3 +156,18 @@ def test_pipeline_stages_on_edge_tables(spark, docs, no_docs):
             assert sum(r.doc_id is None for r in got) == ids[None]
         if name == "benchmark decontamination":
             assert len(got) == len(rows)
+
+
+def test_bytes_that_are_not_utf8(spark):
+    """Texts with broken characters count as texts; only what needs characters leaves them out."""
+    from lotscout.llm import context_mixing, spelling, tokenizer_links
+
+    docs = spark.sql(
+        "SELECT id AS doc_id, CAST(concat(encode('zebra zebra zebra caf', 'UTF-8'), x'E9FF20', encode('end', 'UTF-8')) AS STRING) AS text "
+        "FROM range(4)"
+    )
+    found = tokenizer_links.align(docs).collect()
+    assert [(r.n_a, r.n_b, r.groups_sha256) for r in found] == [(0, 0, "")] * 4
+    assert {(r.word, r.n) for r in spelling.variants(docs).collect()} == {("zebra", 12)}
+    scores = context_mixing.score_texts(docs).collect()
+    assert {r.n_tokens for r in scores} == {6} and all(math.isfinite(r.score) for r in scores)
