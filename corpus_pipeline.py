@@ -48,10 +48,15 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    found = find_benchmark(rows, table(spark, sf_dir, "benchmark"))
-    return found.where(F.col("n_hit") == 0).select("row.*")
+    """Documents without a benchmark window; rows with one doc_id and text are one document.
+
+    The index carries only what names a document, and the few that are hit are joined back.
+    """
+    named = docs.select(F.col("doc_id").alias("hit_id"), F.md5("text").alias("hit_digest"), "text")
+    found = find_benchmark(named, table(spark, sf_dir, "benchmark"))
+    hit = stage_table(found.where(F.col("n_hit") > 0).select("hit_id", "hit_digest").distinct(), "hit-documents")
+    same = docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.md5(docs["text"]) == hit["hit_digest"])
+    return docs.join(hit, same, "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
