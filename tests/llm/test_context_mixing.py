@@ -157,3 +157,60 @@ def test_mixer_equals_a_loop():
             refining[marks[i], bit[i]] += 1
             for k in range(M.CONTEXTS):
                 tables[k, slots[k, i], bit[i]] += 1
+
+
+def test_one_model_learns_from_all_volumes(spark, monkeypatch):
+    """Every text is a volume of its own: what a held-out text is scored by was learned in other ones."""
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(300))) for i in range(400) if not held(i)][:60]
+    first, second = [i for i in range(400) if held(i)][:2]
+    copy = rows[7][1].split()
+    rows += [(first, " ".join(copy)), (second, " ".join(r.sample(copy, len(copy))))]
+    monkeypatch.setattr(M, "VOLUME_BYTES", 1)
+    got = {x.doc_id: x for x in compare(M.score_texts(spark.createDataFrame(rows, "doc_id long, text string")), rows)}
+    assert got[first].score > 0.6 * got[second].score
+    # training texts other than the copied one are no better than counts by much: they were not told of themselves
+    for i in [i for i in got if not held(i) and i != rows[7][0]]:
+        assert got[i].score < 0.9 * got[i].base_score
+
+
+def test_model_is_the_sum_of_its_volumes(spark, docs, monkeypatch):
+    learned = []
+    freeze = M.Mixer.freeze
+
+    def keep(mixer):
+        learned.append((mixer.tables, mixer.weights, mixer.map))
+        return freeze(mixer)
+
+    monkeypatch.setattr(M.Mixer, "freeze", keep)
+    for size, lessons in ((3000, 2), (3000, 16), (1 << 30, 16)):
+        monkeypatch.setattr(M, "VOLUME_BYTES", size)
+        monkeypatch.setattr(M, "LESSONS", lessons)
+        M.score_texts(docs.coalesce(1))
+    bits = []
+    for tables, weights, mapped in learned:
+        assert np.abs(weights - 0.4).max() > 0
+        assert tables[0].sum() == tables[2].sum() == mapped.sum()
+        bits.append(mapped.sum())
+    # the same volumes see the same bits, whoever learns them
+    assert bits[0] == bits[1] and (learned[0][0] == learned[1][0]).all()
+
+
+def test_what_followed_elsewhere_equals_a_loop():
+    import pandas as pd
+
+    r = np.random.default_rng(2)
+    asked, rows = [], []
+    for pack in range(9):
+        keys = np.unique(r.integers(0, 60, 25)).astype(np.uint32)
+        prints = r.integers(0, 4, len(keys)) * r.integers(0, 2, len(keys))
+        asked.append((keys, prints))
+        blob = P.squeeze(P.planes(np.diff(keys, prepend=np.uint32(0))) + M._prints_out(prints))
+        rows.append((blob, len(keys)))
+    got = M._followed(pd.DataFrame(rows, columns=["follows", "n_follows"]))
+    for pack, (keys, _) in enumerate(asked):
+        answer = M._prints_in(P.unsqueeze(got[pack]))
+        for key, found in zip(keys, answer):
+            seen = [p[k == key][0] for n, (k, p) in enumerate(asked) if n != pack and key in k and p[k == key][0]]
+            assert found == (seen[-1] if seen else 0)
