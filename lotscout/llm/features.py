@@ -13,6 +13,7 @@ from lotscout.llm import rolling
 
 CELLS = 1 << 15  # of hashed words
 BINS = 12  # per statistic
+SLICE = 1 << 19  # bytes of text that are counted at once; their arrays take some 60 times that
 SAMPLE = 8192  # labelled documents that a model is fitted on, at most
 
 _CLASS = np.zeros(256, np.int64)  # of a byte: other, upper, digit, symbol, space
@@ -111,7 +112,7 @@ def collected(sample: DataFrame, size: int = SAMPLE):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).cast(pa.binary())
-            for a, b in rolling.slices(texts):
+            for a, b in rolling.slices(texts, SLICE):
                 bounds, cells, values, _ = rows_of([t or b"" for t in texts.slice(a, b - a).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -146,7 +147,7 @@ def per_document(docs: DataFrame, columns: list[str], score: Callable, schema: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(kept)).cast(pa.binary())
-            for a, b in rolling.slices(texts):
+            for a, b in rolling.slices(texts, SLICE):
                 found = score([t or b"" for t in texts.slice(a, b - a).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(a, b - a) for i in range(len(kept))), *(pa.array(found[c]) for c in added)],

@@ -168,3 +168,24 @@ def test_pipeline_stages(spark):
             assert lost and len(digest(has)) == len(has)
         before = after
     assert corpus_pipeline.run(spark, SF).count() == after.count()
+
+
+def test_tasks_hold_little_text_at_once(spark):
+    """Documents are scored, and sent to Python, in pieces of bounded size, not by number of rows."""
+    import pyarrow as pa
+
+    from lotscout.llm import features
+
+    docs = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 10000) AS text")
+
+    def score(texts):
+        return {"held": [sum(map(len, texts))] * len(texts)}
+
+    held = features.per_document(docs, ["doc_id"], score, "held long")
+    assert held.count() == 300 and held.agg({"held": "max"}).first()[0] <= 1 << 19
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    assert docs.mapInArrow(sizes, "size long").agg({"size": "max"}).first()[0] <= 9 << 20
