@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from lotscout.queries.oracle import query as with_chain
 from lotscout.queries.roles import ROLES
-from lotscout.session import tuned
+from lotscout.session import settings, tuned
 from lotscout.sources.snapshot import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +31,9 @@ def landed(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
         rows = ROLES[role].frame(spark, sf_dir)
         path = new_path(spark, f"raw-{role}")
         by = [c for c in ("region",) if c in rows.columns]
-        rows.write.partitionBy(*by).parquet(path)
+        # a file per region is open at a time: otherwise a task would sort all of its rows by region first
+        with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "32"}):
+            rows.write.option("parquet.block.size", 32 << 20).partitionBy(*by).parquet(path)
         _LANDED[key] = path, rows.schema
     path, schema = _LANDED[key]
     return spark.read.schema(schema).parquet(path)

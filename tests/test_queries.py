@@ -33,3 +33,26 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert {"total", "suitability", "profitability", "name"} <= set(df.columns)
     assert df.count() > 0
+
+
+def test_raw_tables_are_written_without_a_sort(spark, monkeypatch, tmp_path):
+    """A task that sorts its rows by region holds its whole split; with a file open per region it need not."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from lotscout.queries import registry
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    parquet, seen = DataFrameWriter.parquet, []
+
+    def write(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(key)))
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    rows = [(i, 1 + i % 7, i % 50, i % 10, "N", 100.0 * i) for i in range(200)]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_returnflag string, l_extendedprice double"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get(key)
+    got = registry.landed(spark, str(tmp_path), "bronze_building")
+    regions = got.select("region").distinct().count()
+    assert seen[-1] >= regions > 1 and spark.conf.get(key) == before and got.count() == 200
