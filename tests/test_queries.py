@@ -56,3 +56,16 @@ def test_raw_tables_are_written_without_a_sort(spark, monkeypatch, tmp_path):
     got = registry.landed(spark, str(tmp_path), "bronze_building")
     regions = got.select("region").distinct().count()
     assert seen[-1] >= regions > 1 and spark.conf.get(key) == before and got.count() == 200
+
+
+def test_tasks_read_and_sort_bounded_pieces(spark):
+    from lotscout import session
+
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    with session.settings(spark, {key: "1g" for key in session.PIECES}):
+        session.tuned(spark)
+        assert {key: size(spark.conf.get(key)) for key in session.PIECES} == session.PIECES
+        for key in session.PIECES:
+            spark.conf.set(key, "1m")
+        session.tuned(spark)
+        assert {spark.conf.get(key) for key in session.PIECES} == {"1m"}
