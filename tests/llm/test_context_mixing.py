@@ -214,3 +214,75 @@ def test_what_followed_elsewhere_equals_a_loop():
         for key, found in zip(keys, answer):
             seen = [p[k == key][0] for n, (k, p) in enumerate(asked) if n != pack and key in k and p[k == key][0]]
             assert found == (seen[-1] if seen else 0)
+
+
+def odd_rows():
+    r = random.Random(17)
+    words = ["".join(r.choice("abcdé\x00\x1c\x85İ漢") for _ in range(r.randrange(1, 9))) for _ in range(300)]
+    rows = [(i, "".join(r.choice(words) + r.choice([" ", "\t", "\n", "\x0b\x0c\r", "  "]) for _ in range(90))) for i in range(80)]
+    return [*rows, (80, None), (81, ""), (82, " \n "), (None, rows[3][1]), (83, "A" * 3000 + " aA")]
+
+
+def test_volume_equals_a_loop():
+    rows = odd_rows()
+    v = volume(rows)
+    number = {b"": 0}
+    for k, (_, text) in enumerate(rows):
+        own = [w.encode() for w in tokens_of(text)[:-1]]
+        want = [number.setdefault(w, len(number)) for w in own] + [0]
+        assert v.token[v.first[k] : v.first[k + 1]].tolist() == want
+    assert v.words == list(number)
+    empty = volume([(1, None), (2, " ")])
+    assert empty.words == [b""] and empty.token.tolist() == [0, 0]
+
+
+def test_passes_read_prepared_volumes():
+    """Texts and answers are taken apart once; what both passes read is smaller and gives the same costs."""
+    rows = odd_rows()
+    v = volume(rows)
+    r = np.random.default_rng(4)
+    told = tuple(r.integers(-1, len(v.words) + 9, len(v.token)) for _ in range(2))
+    guesses = M.Guesses.of(v, v.own, told)
+    row = v.stored(v.own, guesses)
+    w, counts, again = M.Volume.restored(row)
+    assert [w.words[t] for t in w.token] == [v.words[t] for t in v.token]
+    assert counts[w.token].tolist() == v.own[v.token].tolist()
+    for name in ("kind", "right", "agree"):
+        assert (getattr(again, name) == getattr(guesses, name)).all()
+    want = M.Coder(v, v.own, totals_of(v), guesses).log10()
+    assert (M.Coder(w, counts, totals_of(w), again).log10() == want).all()
+    assert len(row["guesses"]) * 8 < 17 * len(v.token)
+
+
+def test_guesses_equal_a_loop():
+    v = volume(odd_rows())
+    r = np.random.default_rng(6)
+    told = tuple(r.integers(-1, len(v.words) + 9, len(v.token)) for _ in range(2))
+    got = M.Guesses.of(v, v.own, told)
+    pairs = [v.before(1)[v.order], v.before(1)[v.order] * len(v.words) + v.before(2)[v.order]]
+    one, two = (M.latest(p, v.token[v.order], v.doc[v.order], v.train[v.order]) for p in pairs)
+    one, two = (np.where(g >= 0, g, t[v.order]) for g, t in ((one, told[1]), (two, told[0])))
+    for guess, right, kind in zip((two, one), got.right, got.kind):
+        assert (right == (guess == v.token[v.order])).all() and ((kind > 0) == (guess >= 0)).all()
+    assert (got.agree == (one == two)).all()
+
+
+def test_learning_without_costs_is_the_same_learning():
+    r = np.random.default_rng(8)
+    a, b = M.Mixer(3, 6), M.Mixer(3, 6)
+    for _ in range(5):
+        gate, bit, slots = r.integers(0, 3, 70), r.integers(0, 2, 70), r.integers(0, 64, (M.CONTEXTS, 70))
+        a.cost(gate, slots, bit, True)
+        b.learn(gate, slots, bit)
+    for name in ("tables", "weights", "map", "used"):
+        assert (getattr(a, name) == getattr(b, name)).all()
+
+
+def test_order_of_small_and_of_large_numbers():
+    r = np.random.default_rng(9)
+    for most in (5, 1 << 20, 1 << 62):
+        keys = np.append(r.integers(0, most, 999), [most - 1, 0, most - 1])
+        assert (M.ordered(keys) == np.argsort(keys, kind="stable")).all()
+        found, which = M.grouped(keys)
+        assert (found == np.unique(keys)).all() and (found[which] == keys).all()
+    assert len(M.ordered(np.zeros(0, np.int64))) == 0
